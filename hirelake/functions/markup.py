@@ -1,11 +1,14 @@
 """HTML fragments as column expressions: find elements, read their text."""
 
+import json
 from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hirelake.functions.text import clean_text
+
 _BLOCKS = (
     "address|article|aside|blockquote|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|"
     "header|hr|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul"
@@ -20,6 +23,9 @@ def opening_tag(tag: str, attr: str | None = None, value: str | None = None) ->
     return rf"(?is)<{tag}\b(?=[^>]*\s{attr}{tail})[^>]*>"
 
 
+_NAMED = json.dumps({"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()})
+
+
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once, however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -29,13 +35,14 @@ def _rest(pieces: Column) -> Column:
     return F.filter(pieces, lambda _, i: i > 0)
 
 
-def _until_closed(rest: Column, tag: str) -> Column:
-    """The text up to the end tag that closes an already opened ``tag``; nested
-    elements of the same name are counted in and out."""
+def _balanced(rest: Column, tag: str) -> Column:
+    """The text up to the end tag that closes an already opened ``tag``, with
+    nested elements of the same name counted in and out; all if none does."""
 
     def step(state: Column, part: Column) -> Column:
-        closing, opening = part.rlike(rf"(?i)^</{tag}\b"), part.rlike(rf"(?i)^<{tag}\b")
-        depth = state["depth"] + F.when(closing, -1).when(opening, 1).otherwise(0)
+        head = F.lower(F.substring(part, 1, 2))
+        delta = F.when(head == "</", -1).when(head == f"<{tag[0]}", 1).otherwise(0)
+        depth = state["depth"] + delta
         # depth 0 is final; the part that reaches it is not kept
         return F.when(state["depth"] == 0, state).otherwise(
             F.struct(
@@ -45,10 +52,23 @@ def _until_closed(rest: Column, tag: str) -> Column:
         )
 
     def kept(parts: Column) -> Column:
-        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
-        return F.array_join(F.slice(parts, F.lit(1), F.aggregate(parts, start, step)["kept"]), "")
+        # The first part comes before any tag of that name: it is always kept.
+        start = F.struct(F.lit(1).alias("depth"), F.lit(1).alias("kept"))
+        end = F.aggregate(_rest(parts), start, step)["kept"]
+        return F.array_join(F.slice(parts, F.lit(1), end), "")
 
-    return _let(F.split(rest, rf"(?i)(?=</?{tag}\b)"), kept)
+    # A space in front makes the part before the first tag never a tag itself.
+    split = F.split(F.concat(F.lit(" "), rest), rf"(?i)(?=</?{tag}\b)")
+    return F.substr(_let(split, kept), F.lit(2))
+
+
+def _until_closed(rest: Column, tag: str) -> Column:
+    """As :func:`_balanced`; one regular expression when nothing is nested."""
+    flat = F.regexp_extract(rest, rf"(?is)^(.*?)(?:</{tag}\b|\z)", 1)
+    return _let(
+        flat,
+        lambda text: F.when(text.rlike(rf"(?i)<{tag}\b"), _balanced(rest, tag)).otherwise(text),
+    )
 
 
 def inner_html(
@@ -84,10 +104,7 @@ def _character(code: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Named (HTML 4) and numeric character references, each decoded once."""
-    names = F.create_map(
-        *[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))],
-        F.lit("apos"), F.lit("'"),
-    )
+    names = F.from_json(F.lit(_NAMED), "map<string,string>")  # folded to a constant
 
     def character(body: Column) -> Column:
         hexa = F.conv(F.regexp_extract(body, "^#[xX](.+)$", 1), 16, 10).try_cast("bigint")
@@ -110,14 +127,20 @@ def decode_entities(text: Column) -> Column:
     return F.when(text.contains("&"), _let(F.split(text, "&"), decoded)).otherwise(text)
 
 
+def _without_tags(html: Column) -> Column:
+    # \x01 marks the edge of a block, \x02 a line break.
+    t = F.regexp_replace(html, r"(?is)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->)", "")
+    t = F.regexp_replace(t, r"(?i)<br\b[^>]*>", "\x02")
+    t = F.regexp_replace(t, rf"(?i)</?(?:{_BLOCKS})\b[^>]*>", "\x01")
+    return F.regexp_replace(t, r"<[^>]*>", "")
+
+
 def visible_text(html: Column) -> Column:
     """The text a reader of the page would see: block elements and ``<br>`` break
     lines, other tags vanish, runs of white space are one space, both ends are
     trimmed."""
-    t = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "")
+    t = _let(html, lambda h: F.when(h.contains("<"), _without_tags(h)).otherwise(h))
     t = F.regexp_replace(t, r"\s+", " ")
-    t = F.regexp_replace(t, r"(?i) ?<br\b[^>]*> ?", "\n")
-    t = F.regexp_replace(t, rf"(?i)\s*(?:</?(?:{_BLOCKS})\b[^>]*>\s*)+", "\n")
-    t = F.regexp_replace(t, r"<[^>]*>", "")
-    t = F.regexp_replace(_let(t, decode_entities), "\u00a0", " ")
-    return F.regexp_replace(t, r"(?U)^\s+|\s+$", "")
+    t = F.regexp_replace(t, "[ \x01\x02]*\x01[ \x01\x02]*", "\n")
+    t = F.regexp_replace(t, " ?\x02 ?", "\n")
+    return clean_text(F.translate(_let(t, decode_entities), "\u00a0", " "))

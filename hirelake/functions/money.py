@@ -1,5 +1,7 @@
 """Salary bounds out of free text."""
 
+from string import digits
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ def safe_decimal(c: Column) -> Column:
 
 
 def _digits_and_dashes(salary: Column) -> Column:
-    return F.regexp_replace(F.lower(salary), "[^0-9–-]+", "")
+    return F.regexp_replace(F.lower(salary), f"[^{digits}–-]+", "")
 
 
 def salary_min(salary: Column) -> Column:

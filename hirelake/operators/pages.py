@@ -31,27 +31,29 @@ def extract_cards(
     dropped. ``pages`` needs ``page_id``, ``html`` and a time column; ``keep``
     names page columns to carry along, such as the search term, so the pages of
     all terms are one table and one job."""
+    def fields(card: Column) -> Column:
+        age = first_text(card, "span", "data-automation", "jobListingDate")
+        return F.struct(
+            first_attribute(card, "article", "data-job-id").alias("Job_ID"),
+            first_text(card, "a", "data-automation", "jobTitle").alias("Role"),
+            first_text(card, "a", "data-automation", "jobCompany").alias("Company"),
+            first_text(card, "a", "data-automation", "jobLocation").alias("Location"),
+            render_time(publish_time(age, F.col(scraped_at))).alias("Publish_Time"),
+        )
+
+    # Fields are read before the explode: a filter on its output is not pushed
+    # into the extraction, which would run it twice.
+    blocks = inner_html(F.col("html"), "div", "data-search-sol-meta")
     cards = pages.select(
-        "page_id",
-        *keep,
-        F.col(scraped_at).alias("_now"),
-        F.posexplode(inner_html(F.col("html"), "div", "data-search-sol-meta")).alias("position", "_card"),
+        "page_id", *keep, F.posexplode(F.transform(blocks, fields)).alias("position", "_card")
     )
-    card = F.col("_card")
-    fields = cards.select(
+    return cards.where("_card.Job_ID IS NOT NULL AND _card.Role <> ''").select(
         "page_id",
         "position",
         *keep,
-        first_attribute(card, "article", "data-job-id").alias("Job_ID"),
-        F.nullif(first_text(card, "a", "data-automation", "jobTitle"), F.lit("")).alias("Role"),
-        first_text(card, "a", "data-automation", "jobCompany").alias("Company"),
-        first_text(card, "a", "data-automation", "jobLocation").alias("Location"),
-        render_time(
-            publish_time(first_text(card, "span", "data-automation", "jobListingDate"), F.col("_now"))
-        ).alias("Publish_Time"),
-    ).where("Job_ID IS NOT NULL AND Role IS NOT NULL")
-    return fields.withColumn("URL", F.concat(F.lit(url_prefix), "Job_ID")).withColumn(
-        "country", country if isinstance(country, Column) else F.lit(country)
+        "_card.*",
+        F.concat(F.lit(url_prefix), "_card.Job_ID").alias("URL"),
+        (country if isinstance(country, Column) else F.lit(country)).alias("country"),
     )
 
 
