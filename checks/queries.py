@@ -13,7 +13,7 @@ from hirelake.operators.keys import dense_id
 from hirelake.plans.daily import DailyRun, collect_pages, run_daily
 from hirelake.plans.silver import build_silver, clean_postings
 from hirelake.schema import RAW
-from hirelake.scratch import scratch_path
+from hirelake.scratch import materialise, scratch_path
 from hirelake.sources import layers, raw
 from hirelake.streaming.ingest import raw_stream, stream_bronze
 
@@ -292,8 +292,13 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_of_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read_zone(spark, _raw_zone(spark, sf_dir, "csv"), "csv")
-    return raw.files_for_date(raw.require_nonempty(rows, "2025-07-18"), "2025-07-18")
+    """One day's files by path, put next to the same day out of all files."""
+    root = _raw_zone(spark, sf_dir, "csv")
+    north = raw.read_raw(spark, f"{root}/Source_Data_board_north", table_date="2025-07-18")
+    south = raw.read_raw(spark, f"{root}/Source_Data_board_south")
+    return raw.concat_raw(
+        raw.require_nonempty(north, "2025-07-18"), raw.files_for_date(south, "2025-07-18")
+    )
 
 
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -379,7 +384,8 @@ def salary_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def postings_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = reports.postings_star(clean_postings(postings(spark, sf_dir)))["postings"]
+    silver = materialise(clean_postings(postings(spark, sf_dir)), "silver")
+    fact = reports.postings_star(silver)["postings"]
     return fact.select("raw_id", "company_key", "location_key", "role_key", "posted_time")
 
 

@@ -26,7 +26,7 @@ def opening_tag(tag: str, attr: str | None = None, value: str | None = None) ->
 _NAMED = json.dumps({"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()})
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once, however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -40,9 +40,7 @@ def _balanced(rest: Column, tag: str) -> Column:
     nested elements of the same name counted in and out; all if none does."""
 
     def step(state: Column, part: Column) -> Column:
-        head = F.lower(F.substring(part, 1, 2))
-        delta = F.when(head == "</", -1).when(head == f"<{tag[0]}", 1).otherwise(0)
-        depth = state["depth"] + delta
+        depth = state["depth"] + F.when(part.startswith("/"), -1).otherwise(1)
         # depth 0 is final; the part that reaches it is not kept
         return F.when(state["depth"] == 0, state).otherwise(
             F.struct(
@@ -55,17 +53,15 @@ def _balanced(rest: Column, tag: str) -> Column:
         # The first part comes before any tag of that name: it is always kept.
         start = F.struct(F.lit(1).alias("depth"), F.lit(1).alias("kept"))
         end = F.aggregate(_rest(parts), start, step)["kept"]
-        return F.array_join(F.slice(parts, F.lit(1), end), "")
+        return F.array_join(F.slice(parts, F.lit(1), end), "<")
 
-    # A space in front makes the part before the first tag never a tag itself.
-    split = F.split(F.concat(F.lit(" "), rest), rf"(?i)(?=</?{tag}\b)")
-    return F.substr(_let(split, kept), F.lit(2))
+    return let(F.split(rest, rf"(?i)<(?=/?{tag}\b)"), kept)
 
 
 def _until_closed(rest: Column, tag: str) -> Column:
     """As :func:`_balanced`; one regular expression when nothing is nested."""
     flat = F.regexp_extract(rest, rf"(?is)^(.*?)(?:</{tag}\b|\z)", 1)
-    return _let(
+    return let(
         flat,
         lambda text: F.when(text.rlike(rf"(?i)<{tag}\b"), _balanced(rest, tag)).otherwise(text),
     )
@@ -110,27 +106,32 @@ def decode_entities(text: Column) -> Column:
         hexa = F.conv(F.regexp_extract(body, "^#[xX](.+)$", 1), 16, 10).try_cast("bigint")
         number = F.regexp_extract(body, "^#([0-9]+)$", 1).try_cast("bigint")
         return F.when(
-            body.startswith("#"), _let(F.coalesce(hexa, number), _character)
+            body.startswith("#"), let(F.coalesce(hexa, number), _character)
         ).otherwise(F.try_element_at(names, body))
 
     def decode(piece: Column) -> Column:
         body = F.regexp_extract(
             piece, r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[a-zA-Z][a-zA-Z0-9]*);", 1
         )
-        known = _let(body, lambda b: F.concat(character(b), F.substr(piece, F.length(b) + 2)))
+        known = let(body, lambda b: F.concat(character(b), F.substr(piece, F.length(b) + 2)))
         return F.coalesce(known, F.concat(F.lit("&"), piece))
 
     def decoded(pieces: Column) -> Column:
         rest = F.array_join(F.transform(_rest(pieces), decode), "")
         return F.concat(F.get(pieces, F.lit(0)), rest)
 
-    return F.when(text.contains("&"), _let(F.split(text, "&"), decoded)).otherwise(text)
+    return F.when(text.contains("&"), let(F.split(text, "&"), decoded)).otherwise(text)
+
+
+def without_code(html: Column) -> Column:
+    """The page without scripts, styles and comments, whose text may look like
+    tags. To be applied to whole pages, before elements are looked for."""
+    return F.regexp_replace(html, r"(?is)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->)", "")
 
 
 def _without_tags(html: Column) -> Column:
     # \x01 marks the edge of a block, \x02 a line break.
-    t = F.regexp_replace(html, r"(?is)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->)", "")
-    t = F.regexp_replace(t, r"(?i)<br\b[^>]*>", "\x02")
+    t = F.regexp_replace(without_code(html), r"(?i)<br\b[^>]*>", "\x02")
     t = F.regexp_replace(t, rf"(?i)</?(?:{_BLOCKS})\b[^>]*>", "\x01")
     return F.regexp_replace(t, r"<[^>]*>", "")
 
@@ -139,8 +140,8 @@ def visible_text(html: Column) -> Column:
     """The text a reader of the page would see: block elements and ``<br>`` break
     lines, other tags vanish, runs of white space are one space, both ends are
     trimmed."""
-    t = _let(html, lambda h: F.when(h.contains("<"), _without_tags(h)).otherwise(h))
+    t = let(html, lambda h: F.when(h.contains("<"), _without_tags(h)).otherwise(h))
     t = F.regexp_replace(t, r"\s+", " ")
     t = F.regexp_replace(t, "[ \x01\x02]*\x01[ \x01\x02]*", "\n")
     t = F.regexp_replace(t, " ?\x02 ?", "\n")
-    return clean_text(F.translate(_let(t, decode_entities), "\u00a0", " "))
+    return clean_text(F.translate(let(t, decode_entities), "\u00a0", " "))

@@ -10,7 +10,9 @@ from hirelake.functions.markup import (
     first_attribute,
     first_text,
     inner_html,
+    let,
     visible_text,
+    without_code,
 )
 from hirelake.functions.text import role_matches
 from hirelake.functions.times import publish_time, render_time
@@ -31,6 +33,7 @@ def extract_cards(
     dropped. ``pages`` needs ``page_id``, ``html`` and a time column; ``keep``
     names page columns to carry along, such as the search term, so the pages of
     all terms are one table and one job."""
+
     def fields(card: Column) -> Column:
         age = first_text(card, "span", "data-automation", "jobListingDate")
         return F.struct(
@@ -38,12 +41,12 @@ def extract_cards(
             first_text(card, "a", "data-automation", "jobTitle").alias("Role"),
             first_text(card, "a", "data-automation", "jobCompany").alias("Company"),
             first_text(card, "a", "data-automation", "jobLocation").alias("Location"),
-            render_time(publish_time(age, F.col(scraped_at))).alias("Publish_Time"),
+            let(age, lambda a: render_time(publish_time(a, F.col(scraped_at)))).alias("Publish_Time"),
         )
 
     # Fields are read before the explode: a filter on its output is not pushed
     # into the extraction, which would run it twice.
-    blocks = inner_html(F.col("html"), "div", "data-search-sol-meta")
+    blocks = inner_html(without_code(F.col("html")), "div", "data-search-sol-meta")
     cards = pages.select(
         "page_id", *keep, F.posexplode(F.transform(blocks, fields)).alias("position", "_card")
     )
@@ -81,7 +84,9 @@ def extract_details(pages: DataFrame) -> DataFrame:
             lambda block: inner_html(block, "a"),
         )
     )
-    return pages.select(
+    # The cleaned page is used three times, so Catalyst keeps it a column of its own.
+    cleaned = pages.select("page_id", "url", without_code(html).alias("html"))
+    return cleaned.select(
         "page_id",
         F.col("url").alias("URL"),
         F.array_join(

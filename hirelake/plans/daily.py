@@ -23,7 +23,6 @@ from hirelake.sources.layers import (
 )
 from hirelake.sources.raw import (
     concat_raw,
-    files_for_date,
     read_raw,
     require_nonempty,
     run_name,
@@ -63,11 +62,12 @@ def ingest(spark: SparkSession, cfg: DailyRun) -> DataFrame:
     """Raw files of the day, all sources in one job, to staging; the staged rows
     come back."""
     raw = [
-        files_for_date(
-            require_nonempty(read_raw(spark, f, cfg.source_type), cfg.table_date, cfg.source_type),
+        require_nonempty(
+            read_raw(spark, folder, cfg.source_type, table_date=cfg.table_date),
             cfg.table_date,
+            cfg.source_type,
         )
-        for f in cfg.folders
+        for folder in cfg.folders
     ]
     write_staging(stage(concat_raw(*raw)), f"{cfg.lake}/staging")
     return read_staging(spark, f"{cfg.lake}/staging", cfg.sources, cfg.table_date)

@@ -57,7 +57,7 @@ def reader_options(fmt: str, multi_line: bool = True, any_case: bool = False) ->
 def run_date() -> Column:
     """The date in the current file's name or folder, null when there is none."""
     stamp = F.regexp_extract("_metadata.file_path", _STAMP_IN_PATH, 1)
-    return F.try_to_date(F.nullif(stamp, F.lit("")), "yyyyMMdd")
+    return F.regexp_replace(stamp, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
 
 
 def read_raw(
@@ -65,24 +65,34 @@ def read_raw(
     path: str,
     fmt: str = "csv",
     source: str | None = None,
+    table_date: str | None = None,
     multi_line: bool = True,
     any_case: bool = False,
 ) -> DataFrame:
-    """All raw files below ``path`` with the ten raw columns, ``source`` and
-    ``table_date``. Columns that older files lack are null; nothing is inferred,
-    so ids keep their leading zeros."""
+    """Raw files below ``path`` with the ten raw columns, ``source`` and
+    ``table_date``; only the files of one day when ``table_date`` is given.
+
+    Columns that older files lack are null; nothing is inferred, so ids keep
+    their leading zeros. The day is a filter on the file path alone, which Spark
+    applies to the file listing: files of other days are never opened.
+    """
     kind = source_type(fmt)
     reader = spark.read.schema(RAW).options(**reader_options(fmt, multi_line, any_case))
-    return reader.format(kind).load(path).select(
+    files = reader.format(kind).load(path)
+    if table_date is not None:
+        wanted = _STAMP_IN_PATH.replace(r"(\d{8})", table_date.replace("-", ""))
+        files = files.where(F.col("_metadata.file_path").rlike(wanted))
+    day = run_date() if table_date is None else F.lit(table_date).cast("date")
+    return files.select(
         *RAW.fieldNames(),
         F.lit(source or source_name(path)).alias("source"),
-        run_date().alias("table_date"),
+        day.alias("table_date"),
     )
 
 
 def files_for_date(df: DataFrame, table_date: str) -> DataFrame:
-    """Only the files of one day; files without a date in their name are left
-    out. The filter is on the file path alone, so other files are not opened."""
+    """Only the rows from files of one day, out of a frame of many; files without
+    a date in their name are left out."""
     return df.where(F.col("table_date") == F.lit(table_date).cast("date"))
 
 
