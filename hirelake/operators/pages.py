@@ -18,6 +18,7 @@ from hirelake.functions.text import role_matches
 from hirelake.functions.times import publish_time, render_time
 from hirelake.operators.dedup import first_per_key
 from hirelake.schema import RAW
+from hirelake.scratch import materialise
 
 DETAIL_FIELDS = ["job_desc", "salary", "work_type"]
 
@@ -102,10 +103,16 @@ def extract_details(pages: DataFrame) -> DataFrame:
 def attach_details(cards: DataFrame, details: DataFrame) -> DataFrame:
     """Each card with the detail fields of its URL, ``''`` where there is no
     detail page. If a URL was stored more than once its first page counts, so
-    cards never multiply. Catalyst picks the join; a URL that many cards share
-    is split by AQE's skew join, the detail side being unique."""
-    once = first_per_key(details, ["URL"], ["page_id", *DETAIL_FIELDS]).select("URL", *DETAIL_FIELDS)
-    return cards.join(once, "URL", "left").fillna("", DETAIL_FIELDS)
+    cards never multiply.
+
+    The unique details are written first: each page is parsed once, Catalyst
+    knows their size and broadcasts them only if small, and otherwise both sides
+    of the join are plain shuffles, which AQE can split where one URL is on many
+    cards.
+    """
+    once = first_per_key(details, ["URL"], ["page_id", *DETAIL_FIELDS])
+    unique = materialise(once.select("URL", *DETAIL_FIELDS), "details")
+    return cards.join(unique, "URL", "left").fillna("", DETAIL_FIELDS)
 
 
 def postings(cards: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

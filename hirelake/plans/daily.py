@@ -13,12 +13,17 @@ from hirelake.operators.pages import attach_details, extract_cards, matching_rol
 from hirelake.operators.pages import extract_details as details_of
 from hirelake.operators.quality import quality_report
 from hirelake.operators.words import word_frequency
-from hirelake.plans.silver import build_silver
+from hirelake.plans.silver import build_silver, require_fields
+from hirelake.schema import BRONZE, GOLD, SILVER
+from hirelake.scratch import materialise
 from hirelake.sources.layers import (
+    empty_staging,
     load_bronze,
+    read_sources,
     read_staging,
+    replace_sources,
+    sources_without_rows,
     stage,
-    write_by_source,
     write_staging,
 )
 from hirelake.sources.raw import (
@@ -61,6 +66,7 @@ class DailyResult:
 def ingest(spark: SparkSession, cfg: DailyRun) -> DataFrame:
     """Raw files of the day, all sources in one job, to staging; the staged rows
     come back."""
+    path = f"{cfg.lake}/staging"
     raw = [
         require_nonempty(
             read_raw(spark, folder, cfg.source_type, table_date=cfg.table_date),
@@ -69,29 +75,34 @@ def ingest(spark: SparkSession, cfg: DailyRun) -> DataFrame:
         )
         for folder in cfg.folders
     ]
-    write_staging(stage(concat_raw(*raw)), f"{cfg.lake}/staging")
-    return read_staging(spark, f"{cfg.lake}/staging", cfg.sources, cfg.table_date)
+    write_staging(stage(concat_raw(*raw)), path)
+    for source, rows in zip(cfg.sources, raw):
+        if rows.isEmpty():
+            empty_staging(spark, path, source, cfg.table_date)
+    return read_staging(spark, path, cfg.sources, cfg.table_date)
 
 
 def run_daily(spark: SparkSession, cfg: DailyRun) -> DailyResult:
     """Ingest, load, clean, check and count; every source is a partition of the
     same tables, so more sources mean more data, not more jobs."""
     check_load_type(cfg.load_type)
-    here = F.col("source").isin(cfg.sources)
+    paths = {t: f"{cfg.lake}/{t}" for t in ("bronze", "silver", "gold/word_frequency")}
 
     staged = ingest(spark, cfg)
-    load_bronze(staged, f"{cfg.lake}/bronze", cfg.load_type)
-    bronze = spark.read.parquet(f"{cfg.lake}/bronze").where(here)
+    load_bronze(staged, paths["bronze"], cfg.load_type, cfg.sources)
+    bronze = read_sources(spark, paths["bronze"], BRONZE, cfg.sources)
 
-    write_by_source(build_silver(bronze, ["source"]), f"{cfg.lake}/silver")
-    silver = spark.read.parquet(f"{cfg.lake}/silver").where(here)
+    without_rows = sources_without_rows(require_fields(bronze), cfg.sources)
+    replace_sources(build_silver(bronze, ["source"]), paths["silver"], without_rows)
+    silver = read_sources(spark, paths["silver"], SILVER, cfg.sources)
 
-    gold = word_frequency(silver, by=["source"])
-    write_by_source(gold, f"{cfg.lake}/gold/word_frequency")
+    # A few hundred rows per source.
+    gold = materialise(word_frequency(silver, by=["source"]), "gold")
+    replace_sources(gold, paths["gold/word_frequency"], sources_without_rows(gold, cfg.sources))
     return DailyResult(
         bronze=bronze,
         silver=silver,
-        gold=spark.read.parquet(f"{cfg.lake}/gold/word_frequency").where(here),
+        gold=read_sources(spark, paths["gold/word_frequency"], GOLD, cfg.sources),
         dedup=copies_report(staged, "copies"),
         quality=quality_report(silver, by=["source"]),
     )
@@ -102,7 +113,7 @@ def last_processed_time(spark: SparkSession, lake: str, source: str, load_type:
     there is no time yet. One value is brought back."""
     if check_load_type(load_type) == "full":
         return ""
-    bronze = spark.read.parquet(f"{lake}/bronze").where(F.col("source") == source)
+    bronze = read_sources(spark, f"{lake}/bronze", BRONZE, [source])
     return high_water_mark(bronze).first()["max_time"] or ""
 
 

@@ -15,6 +15,12 @@ RAW = T.StructType(
     )
 )
 
+# Raw columns plus where and when they came from, and how many raw rows each
+# staged row stands for.
+_ORIGIN = [T.StructField("source", T.StringType()), T.StructField("table_date", T.DateType())]
+STAGING = T.StructType([*RAW.fields, T.StructField("copies", T.LongType()), *_ORIGIN])
+BRONZE = T.StructType([*RAW.fields, *reversed(_ORIGIN)])
+
 # Columns a bronze row must have to reach silver.
 REQUIRED_RAW = ["Job_ID", "Role", "URL", "Publish_Time"]
 # Columns that the quality check expects to be filled in silver.

@@ -3,12 +3,13 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from hirelake.functions.times import parse_time_lenient, render_time
 from hirelake.operators.dedup import dedup_ignoring
 from hirelake.operators.incremental import check_load_type
-from hirelake.schema import RAW
+from hirelake.schema import BRONZE, RAW, STAGING
 
 TIME = "Publish_Time"
 
@@ -26,6 +27,20 @@ def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
     writer.partitionBy(*columns).parquet(path)
 
 
+def _empty_partition(
+    spark: SparkSession, path: str, schema: T.StructType, **partition: str
+) -> None:
+    """Leave the partition without rows."""
+    fields = T.StructType([f for f in schema if f.name not in partition])
+    folder = "/".join(f"{k}={v}" for k, v in partition.items())
+    spark.createDataFrame([], fields).write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
+def sources_without_rows(df: DataFrame, sources: Sequence[str]) -> list[str]:
+    """The sources that ``df`` has no row of; each is searched up to its first row."""
+    return [s for s in sources if df.where(F.col("source") == s).isEmpty()]
+
+
 def write_staging(df: DataFrame, path: str, many_dates: bool = False) -> None:
     """Replace the staged days present in ``df``, a partition per source and day.
 
@@ -38,6 +53,11 @@ def write_staging(df: DataFrame, path: str, many_dates: bool = False) -> None:
     _replace_partitions(df, path, "source", "table_date")
 
 
+def empty_staging(spark: SparkSession, path: str, source: str, table_date: str) -> None:
+    """A staged day without rows, for a day whose files hold none."""
+    _empty_partition(spark, path, STAGING, source=source, table_date=table_date)
+
+
 def read_staging(
     spark: SparkSession,
     path: str,
@@ -45,7 +65,7 @@ def read_staging(
     table_date: str | None = None,
 ) -> DataFrame:
     """Staged rows; the restrictions prune folders."""
-    df = spark.read.parquet(path)
+    df = spark.read.schema(STAGING).parquet(path)
     if sources is not None:
         df = df.where(F.col("source").isin([sources] if isinstance(sources, str) else list(sources)))
     if table_date is not None:
@@ -53,19 +73,35 @@ def read_staging(
     return df
 
 
-def load_bronze(staged: DataFrame, path: str, load_type: str) -> None:
+def load_bronze(
+    staged: DataFrame, path: str, load_type: str, sources: Sequence[str] = ()
+) -> None:
     """Append to bronze, or replace the loaded sources in full.
 
     Bronze is partitioned by source alone, so replacing a source replaces all of
-    its days and leaves the other sources as they are.
+    its days and leaves the other sources as they are. Of the given ``sources``
+    those without staged rows are replaced by nothing.
     """
-    rows = staged.select(*RAW.fieldNames(), "table_date", "source")
+    rows = staged.select(*BRONZE.fieldNames())
     if check_load_type(load_type) == "incremental":
         rows.write.mode("append").partitionBy("source").parquet(path)
     else:
-        _replace_partitions(rows, path, "source")
+        replace_sources(rows, path, sources_without_rows(rows, sources))
 
 
-def write_by_source(df: DataFrame, path: str) -> None:
-    """Rebuild the given sources of a silver or gold table."""
+def replace_sources(df: DataFrame, path: str, without_rows: Sequence[str] = ()) -> None:
+    """Rebuild the sources in ``df`` of a table partitioned by source, and empty
+    those ``without_rows``."""
     _replace_partitions(df, path, "source")
+    for source in without_rows:
+        _empty_partition(df.sparkSession, path, df.schema, source=source)
+
+
+def read_sources(
+    spark: SparkSession, path: str, schema: T.StructType, sources: Sequence[str] | None = None
+) -> DataFrame:
+    """A table partitioned by source; the restriction prunes folders."""
+    columns = [f for f in schema if f.name != "source"]
+    full = T.StructType([*columns, T.StructField("source", T.StringType())])
+    df = spark.read.schema(full).parquet(path)
+    return df if sources is None else df.where(F.col("source").isin(list(sources)))

@@ -52,6 +52,27 @@ def test_two_days(spark, folders, tmp_path):
     assert {r.source: r["count"] for r in counts} == {"north": 2, "south": 3}
 
 
+def test_a_day_without_rows(spark, folders, tmp_path):
+    """A file with nothing but a header counts; a full load then empties the
+    source everywhere."""
+    lake = str(tmp_path / "lake")
+    run_daily(spark, DailyRun(folders, lake, "2025-07-18", "csv", "full"))
+    with open(f"{folders[0]}/b_T_north_20250720_100000.csv", "w") as f:
+        f.write("Job_ID,Role,Company,Location,Publish_Time,URL\n")
+    result = run_daily(spark, DailyRun(folders[:1], lake, "2025-07-20", "csv", "full"))
+    tables = (result.bronze, result.silver, result.gold)
+    assert [t.count() for t in tables] == [0, 0, 0]
+    assert tuple(result.dedup.first()) == (0, 0, 0)
+    assert spark.read.parquet(f"{lake}/silver").select("source").distinct().collect() == [("south",)]
+
+
+def test_first_day_without_rows(spark, folders, tmp_path):
+    with open(f"{folders[0]}/b_T_north_20250720_100000.csv", "w") as f:
+        f.write("Job_ID,Role,Company,Location,Publish_Time,URL\n")
+    result = run_daily(spark, DailyRun(folders[:1], str(tmp_path / "lake"), "2025-07-20"))
+    assert (result.silver.count(), result.gold.count()) == (0, 0)
+
+
 def test_missing_day(spark, folders, tmp_path):
     with pytest.raises(ValueError, match="2025-07-20"):
         run_daily(spark, DailyRun(folders, str(tmp_path / "lake"), "2025-07-20"))
