@@ -32,7 +32,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    run("high_water_mark")  # start-up
+    run("high_water_mark"), run("word_frequency")  # start-up of the engine
     seconds = {name: round(run(name), 3) for name in names}
     print(
         json.dumps(

@@ -127,11 +127,17 @@ def collect_pages(
     stamp: str,
     mark: str | None = None,
     term: str = "keyword",
+    terms: Sequence[str] = vocab.SEARCH_TERMS,
     keywords: Sequence[str] = vocab.ROLE_KEYWORDS,
 ) -> None:
     """Stored pages of one country to raw files in ``folder``: cards of all
-    search terms, roles that match, newer than the mark, with their details."""
-    cards = extract_cards(search_pages, url_prefix, country, keep=[term])
+    search terms, roles that match, newer than the mark, with their details.
+
+    ``term`` is the column of ``search_pages`` that says which search a page is a
+    result of; all searches are one job. ``stamp`` is the run's ``yyyyMMdd_HHmmss``.
+    """
+    asked = search_pages.where(F.col(term).isin(list(terms)))
+    cards = extract_cards(asked, url_prefix, country, keep=[term])
     wanted = newer_than(matching_roles(cards, keywords), mark)
     rows: DataFrame = attach_details(wanted, details_of(detail_pages))
     name: Column = run_name(site, F.col(term), F.lit(country), stamp)

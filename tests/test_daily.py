@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hirelake.plans.daily import DailyRun, last_processed_time, run_daily
+from hirelake.plans.daily import DailyRun, collect_pages, last_processed_time, run_daily
 from hirelake.schema import RAW
 from hirelake.sources.raw import write_raw
 
@@ -81,3 +81,37 @@ def test_missing_day(spark, folders, tmp_path):
 def test_load_type_is_checked_first(spark, tmp_path):
     with pytest.raises(ValueError, match="load_type"):
         run_daily(spark, DailyRun([], str(tmp_path), "2025-07-20", "csv", "append"))
+
+
+def card(job, age):
+    return (
+        f'<div data-search-sol-meta="{job}"><article data-job-id="{job}"><a data-automation="jobTitle">'
+        f'Data Engineer {job}</a><span data-automation="jobListingDate">{age}</span></article></div>'
+    )
+
+
+def test_pages_to_gold_above_the_mark(spark, tmp_path):
+    """Two days of pages: on the second, only cards newer than the mark are taken."""
+    lake, folder = str(tmp_path / "lake"), str(tmp_path / "Source_Data_board_sg")
+    details = spark.createDataFrame(
+        [(i, f"https://e/{i}", f'<div data-automation="jobAdDetails"><p>word{i} SQL</p></div>') for i in (1, 2, 3)],
+        "page_id long, url string, html string",
+    )
+
+    def day(date, load_type, *cards):
+        search = spark.createDataFrame(
+            [(1, "s", "".join(cards), "Data Engineer"), (2, "s", card(9, "1h ago"), "Gardener")],
+            "page_id long, url string, html string, keyword string",
+        ).withColumn("scraped_at", F.lit(f"{date} 12:00:00").cast("timestamp_ntz"))
+        mark = last_processed_time(spark, lake, "board_sg", load_type)
+        stamp = date.replace("-", "") + "_120000"
+        collect_pages(search, details, folder, "board", "https://e/", "sg", stamp, mark)
+        return run_daily(spark, DailyRun([folder], lake, date, "json", load_type))
+
+    day("2025-07-18", "full", card(1, "3h ago"), card(2, "2h ago"))
+    result = day("2025-07-19", "incremental", card(1, "27h ago"), card(2, "26h ago"), card(3, "5m ago"))
+    assert result.bronze.count() == 3
+    assert [r.job_id_platform for r in result.silver.orderBy("job_id").collect()] == ["3", "2", "1"]
+    assert [tuple(r)[:2] for r in result.gold.orderBy(F.desc("frequency"), "word").collect()] == [
+        ("sql", 3), ("word1", 1), ("word2", 1), ("word3", 1),
+    ]

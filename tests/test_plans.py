@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from checks.tables import postings
 from hirelake.operators.dedup import dedup_ignoring, first_per_key
 from hirelake.operators.incremental import newer_than
+from hirelake.operators.pages import attach_details
+from hirelake.operators.reports import postings_star
 from hirelake.operators.words import word_frequency
-from hirelake.plans.silver import clean_postings
-from hirelake.scratch import scratch_path
+from hirelake.plans.silver import build_silver, clean_postings
+from hirelake.scratch import materialise, scratch_path
 from hirelake.sources import layers
 
 
@@ -55,6 +57,55 @@ def test_silver_shuffles_wide_rows_once(spark, sf_dir):
     assert plan(clean_postings(bronze)).count("Exchange") == 1
 
 
+@pytest.fixture
+def large_joins(spark):
+    """No broadcast, and partitions of some hundred KB count as skewed."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_url_on_a_third_of_the_cards_is_split(spark, large_joins):
+    n = F.col("id")
+    cards = spark.range(300000).select(
+        F.when(n % 3 == 0, F.lit("u0")).otherwise(F.concat(F.lit("u"), n % 5000)).alias("URL"), n
+    )
+    details = spark.range(6000).select(
+        n.alias("page_id"), F.concat(F.lit("u"), n % 5000).alias("URL"),
+        *[F.lit("d").alias(c) for c in ("job_desc", "salary", "work_type")],
+    )
+    joined = attach_details(cards, details)
+    assert len(joined.collect()) == 300000
+    assert "SortMergeJoin(skew=true)" in plan(joined)
+
+
+def test_a_company_on_a_third_of_the_postings_is_split(spark, large_joins):
+    n = F.col("id")
+    silver = spark.range(300000).select(
+        F.when(n % 3 == 0, F.lit("c0")).otherwise(F.concat(F.lit("c"), n % 5000)).alias("company"), n
+    )
+    fact = postings_star(silver, ("company",))["postings"]
+    assert len(fact.collect()) == 300000
+    assert "SortMergeJoin(skew=true)" in plan(fact)
+
+
+def test_numbers_join_adds_no_shuffle_of_wide_rows(spark, sf_dir, large_joins):
+    silver = build_silver(materialise(postings(spark, sf_dir), "bronze"))
+    # One for the wide rows, three for the numbers and their shifts.
+    assert plan(silver).count("Exchange hashpartitioning") == 4
+
+
 def test_mark_reaches_the_scan(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type", "ts")
     assert "GreaterThan(event_type,b)" in plan(newer_than(events, "b", "event_type"))
