@@ -20,6 +20,17 @@ from hirelake.operators.dedup import first_per_key
 from hirelake.schema import RAW
 from hirelake.scratch import materialise
 
+# How the pages mark cards and fields, as (tag, attribute, value).
+CARD = ("div", "data-search-sol-meta")
+CARD_ID = ("article", "data-job-id")
+CARD_TITLE = ("a", "data-automation", "jobTitle")
+CARD_COMPANY = ("a", "data-automation", "jobCompany")
+CARD_LOCATION = ("a", "data-automation", "jobLocation")
+CARD_AGE = ("span", "data-automation", "jobListingDate")
+DETAIL_TEXT = ("div", "data-automation", "jobAdDetails")
+DETAIL_WORK_TYPE = ("span", "data-automation", "job-detail-work-type")
+DETAIL_SALARY = ("span", "data-automation", "job-detail-salary")
+
 DETAIL_FIELDS = ["job_desc", "salary", "work_type"]
 
 
@@ -36,18 +47,18 @@ def extract_cards(
     all terms are one table and one job."""
 
     def fields(card: Column) -> Column:
-        age = first_text(card, "span", "data-automation", "jobListingDate")
+        age = first_text(card, *CARD_AGE)
         return F.struct(
-            first_attribute(card, "article", "data-job-id").alias("Job_ID"),
-            first_text(card, "a", "data-automation", "jobTitle").alias("Role"),
-            first_text(card, "a", "data-automation", "jobCompany").alias("Company"),
-            first_text(card, "a", "data-automation", "jobLocation").alias("Location"),
+            first_attribute(card, *CARD_ID).alias("Job_ID"),
+            first_text(card, *CARD_TITLE).alias("Role"),
+            first_text(card, *CARD_COMPANY).alias("Company"),
+            first_text(card, *CARD_LOCATION).alias("Location"),
             let(age, lambda a: render_time(publish_time(a, F.col(scraped_at)))).alias("Publish_Time"),
         )
 
     # Fields are read before the explode: a filter on its output is not pushed
     # into the extraction, which would run it twice.
-    blocks = inner_html(without_code(F.col("html")), "div", "data-search-sol-meta")
+    blocks = inner_html(without_code(F.col("html")), *CARD)
     cards = pages.select(
         "page_id", *keep, F.posexplode(F.transform(blocks, fields)).alias("position", "_card")
     )
@@ -79,24 +90,15 @@ def extract_details(pages: DataFrame) -> DataFrame:
 
         return F.transform(blocks, text)
 
-    types = F.flatten(
-        F.transform(
-            inner_html(html, "span", "data-automation", "job-detail-work-type"),
-            lambda block: inner_html(block, "a"),
-        )
-    )
+    types = F.transform(inner_html(html, *DETAIL_WORK_TYPE), lambda block: inner_html(block, "a"))
     # The cleaned page is used three times, so Catalyst keeps it a column of its own.
     cleaned = pages.select("page_id", "url", without_code(html).alias("html"))
     return cleaned.select(
         "page_id",
         F.col("url").alias("URL"),
-        F.array_join(
-            texts(inner_html(html, "div", "data-automation", "jobAdDetails"), "; "), " "
-        ).alias("job_desc"),
-        F.array_join(
-            texts(inner_html(html, "span", "data-automation", "job-detail-salary")), "; "
-        ).alias("salary"),
-        F.array_join(texts(types), "; ").alias("work_type"),
+        F.array_join(texts(inner_html(html, *DETAIL_TEXT), "; "), " ").alias("job_desc"),
+        F.array_join(texts(inner_html(html, *DETAIL_SALARY)), "; ").alias("salary"),
+        F.array_join(texts(F.flatten(types)), "; ").alias("work_type"),
     )
 
 

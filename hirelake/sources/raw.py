@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from hirelake.scratch import materialise
 from hirelake.schema import RAW
 
-# Fixed value: the run's date and time in a raw file's name.
+# How a raw folder's name begins; the run's date and time in a raw
+# file's name.
+FOLDER_PREFIX = "Source_Data_"
 RUN_STAMP = r"_(\d{8})_\d{6}"
-# The stamp may be in the file's name, or in its folder's when Spark wrote it.
-_STAMP_IN_PATH = rf"{RUN_STAMP}[^/]*(?:/[^/]*)?$"
+# The first stamp of the file's name or, when it has none because Spark named the
+# file, of its folder's.
+_STAMP_IN_PATH = rf"{RUN_STAMP}[^/]*(?:/(?![^/]*_\d{{8}}_\d{{6}})[^/]*)?$"
 
 _OPTIONS = {
     "csv": {
@@ -34,7 +37,7 @@ def source_type(name: str) -> str:
 
 def source_name(folder: str) -> str:
     """Folder ``Source_Data_X`` holds source ``x``."""
-    return folder.rstrip("/").split("/")[-1].replace("Source_Data_", "").lower()
+    return folder.rstrip("/").split("/")[-1].replace(FOLDER_PREFIX, "").lower()
 
 
 def reader_options(fmt: str, multi_line: bool = True, any_case: bool = False) -> dict:
@@ -54,10 +57,13 @@ def reader_options(fmt: str, multi_line: bool = True, any_case: bool = False) ->
     return options
 
 
+def _stamp() -> Column:
+    return F.regexp_extract("_metadata.file_path", _STAMP_IN_PATH, 1)
+
+
 def run_date() -> Column:
     """The date in the current file's name or folder, null when there is none."""
-    stamp = F.regexp_extract("_metadata.file_path", _STAMP_IN_PATH, 1)
-    return F.regexp_replace(stamp, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
+    return F.regexp_replace(_stamp(), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
 
 
 def read_raw(
@@ -80,8 +86,7 @@ def read_raw(
     reader = spark.read.schema(RAW).options(**reader_options(fmt, multi_line, any_case))
     files = reader.format(kind).load(path)
     if table_date is not None:
-        wanted = _STAMP_IN_PATH.replace(r"(\d{8})", table_date.replace("-", ""))
-        files = files.where(F.col("_metadata.file_path").rlike(wanted))
+        files = files.where(_stamp() == table_date.replace("-", ""))
     day = run_date() if table_date is None else F.lit(table_date).cast("date")
     return files.select(
         *RAW.fieldNames(),

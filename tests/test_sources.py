@@ -64,6 +64,22 @@ def test_one_day(spark, folder):
     assert listed.count() == filtered.count() == 5
 
 
+def test_stamp_of_the_file_goes_before_its_folder(spark, tmp_path):
+    """The first stamp in the name counts; the folder's only if there is none."""
+    d = tmp_path / "run_20250101_000000"
+    d.mkdir()
+    for name in ("a_20250102_000000_20250103_000000", "part-0", "b_20259999_000000"):
+        (d / f"{name}.csv").write_text(OLD + f"{name},r,,,,\n")
+    days = {r.Job_ID: str(r.table_date) for r in raw.read_raw(spark, str(tmp_path)).collect()}
+    assert days == {
+        "a_20250102_000000_20250103_000000": "2025-01-02", "part-0": "2025-01-01", "b_20259999_000000": "None",
+    }
+    for day, n in (("2025-01-01", 1), ("2025-01-02", 1), ("2025-01-03", 0)):
+        assert raw.read_raw(spark, str(tmp_path), table_date=day).count() == n
+    with pytest.raises(ValueError):
+        raw.require_nonempty(raw.read_raw(spark, str(tmp_path)), "2025-01-03")
+
+
 def test_no_files_for_the_day(spark, folder):
     files = raw.read_raw(spark, folder)
     assert raw.require_nonempty(files, "2025-07-18") is files
