@@ -70,15 +70,15 @@ def word_frequency_semi_join(
 ) -> DataFrame:
     """The same table with the kept words as a semi join.
 
-    Counting comes before the join: the join then meets one row per word instead
-    of one per job and word, so no word is hot.
+    Counting comes before the join: it then meets one row per word instead of one
+    per job and word, so no word is hot. Both sides are the same counts, joined
+    on all their columns, so Spark reads and counts the texts once and reuses the
+    exchange.
     """
     words = job_words(df, key, text, (), unique_keys)
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
-    kept = without_stop_words(words.select("word").distinct(), stop_words)
-    return top_rows(
-        counts.join(kept, "word", "left_semi"), top, [F.desc("frequency"), F.asc("word")]
-    )
+    kept = counts.join(without_stop_words(counts, stop_words), counts.columns, "left_semi")
+    return top_rows(kept, top, [F.desc("frequency"), F.asc("word")])
 
 
 def keyword_trend(
@@ -94,6 +94,5 @@ def keyword_trend(
     words = without_stop_words(job_words(dated, key, "job_desc", ["period"]), stop_words)
     counts = words.groupBy("period", "word").agg(F.count(F.lit(1)).alias("frequency"))
     order = Window.partitionBy("period").orderBy(F.desc("frequency"), F.asc("word"))
-    return counts.withColumn("place", F.row_number().over(order).cast("long")).where(
-        F.col("place") <= top
-    )
+    ranked = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top)
+    return ranked.withColumn("place", F.col("place").cast("long"))

@@ -11,7 +11,7 @@ from hirelake.operators.dedup import dedup_ignoring, first_per_key
 from hirelake.operators.incremental import newer_than
 from hirelake.operators.pages import attach_details
 from hirelake.operators.reports import postings_star
-from hirelake.operators.words import word_frequency
+from hirelake.operators.words import keyword_trend, word_frequency, word_frequency_semi_join
 from hirelake.plans.silver import build_silver, clean_postings
 from hirelake.scratch import materialise, scratch_path
 from hirelake.sources import layers
@@ -36,6 +36,22 @@ def test_word_frequency_is_one_shuffle(spark, sf_dir):
     assert "Python" not in text and "lambda" not in text
 
 
+def test_semi_join_counts_once(spark, sf_dir):
+    top = word_frequency_semi_join(documents(spark, sf_dir), "doc_id", "text")
+    assert len(top.collect()) == 300
+    final = plan(top).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_ranked_counts_are_cut_before_the_shuffle(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    by_lang = word_frequency(docs, "doc_id", "text", by=["lang"])
+    posted = F.expr("timestamp_ntz'2025-01-01' + make_dt_interval(cast(doc_id % 90 as int))")
+    dated = docs.select("doc_id", F.col("text").alias("job_desc"), posted.alias("posted_time"))
+    for df in (by_lang, keyword_trend(dated, key="doc_id")):
+        assert "Partial" in plan(df) and "WindowGroupLimit" in plan(df)
+
+
 def test_first_per_key_limits_before_the_shuffle(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     text = plan(first_per_key(events, ["user_id"], ["ts", "event_id"]))
