@@ -34,7 +34,9 @@ def stream_bronze(
     """Add every file not seen before to bronze, then stop.
 
     Checkpoint and file sink together keep each file's rows exactly once, also
-    after a crash. ``mark`` drops postings not newer than it.
+    after a crash. The folder is the stream's own: Spark reads it by the stream's
+    log and would not see files that a batch load adds. ``mark`` drops postings
+    not newer than it.
     """
     writer = newer_than(rows, mark).writeStream.format("parquet").partitionBy("source")
     return (
