@@ -133,7 +133,7 @@ def _without_tags(html: Column) -> Column:
     # \x01 marks the edge of a block, \x02 a line break.
     t = F.regexp_replace(without_code(html), r"(?i)<br\b[^>]*>", "\x02")
     t = F.regexp_replace(t, rf"(?i)</?(?:{_BLOCKS})\b[^>]*>", "\x01")
-    return F.regexp_replace(t, r"<[^>]*>", "")
+    return F.regexp_replace(t, r"<[/!?\p{Alpha}][^>]*>", "")
 
 
 def visible_text(html: Column) -> Column:

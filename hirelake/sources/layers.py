@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hirelake.functions.times import parse_time_lenient, render_time
 from hirelake.operators.dedup import dedup_ignoring
 from hirelake.operators.incremental import check_load_type
-from hirelake.schema import BRONZE, RAW, STAGING
+from hirelake.schema import BRONZE, STAGING
 
 TIME = "Publish_Time"
 
