@@ -1,9 +1,13 @@
 """The registered queries of the dealt operators and their DuckDB twins."""
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelake.llm.fingerprints import fingerprint_documents
 from hirelake.llm.mixing import mix_sources
+from hirelake.llm.packing import Limits, pack_documents
+from hirelake.llm.wavelet import read_shards, write_shards
+from hirelake.scratch import scratch_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +31,18 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"), (5, 2, 1), 1.5, 2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "wavelet")
+    write_shards(
+        _table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), 2, 16, by_word=True
+    )
+    return read_shards(spark, path)
+
+
+@query
+def op7_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), 1, Limits(2048, 64, 2048), by_word=True)
