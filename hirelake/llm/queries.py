@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hirelake.llm.fingerprints import fingerprint_documents
 from hirelake.llm.mixing import mix_sources
 from hirelake.llm.packing import Limits, pack_documents
+from hirelake.llm.parity import jaccard_components
 from hirelake.llm.wavelet import read_shards, write_shards
 from hirelake.scratch import scratch_path
 
@@ -46,3 +47,8 @@ def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), 1, Limits(2048, 64, 2048), by_word=True)
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"), 4, 85)
