@@ -7,6 +7,7 @@ from hirelake.llm.fingerprints import fingerprint_documents
 from hirelake.llm.mixing import mix_sources
 from hirelake.llm.packing import Limits, pack_documents
 from hirelake.llm.parity import jaccard_components
+from hirelake.llm.subspace import near_components
 from hirelake.llm.wavelet import read_shards, write_shards
 from hirelake.scratch import scratch_path
 
@@ -52,3 +53,8 @@ def op7_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), 4, 85)
+
+
+@query
+def op2_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(_table(spark, sf_dir, "embeddings"), 0.9)
