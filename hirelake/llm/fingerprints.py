@@ -93,48 +93,36 @@ def as_text(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
-def with_next(df: DataFrame, id_: str, text: str, block: int = 128) -> DataFrame:
+def with_next(df: DataFrame, id_: str, text: str, block_bits: int = 7) -> DataFrame:
     """Each row with ``_next``, the text of the next row by descending id; after
     the smallest id comes the largest. Rows of equal id follow each other by
     text, rows without an id have no next row (null).
 
     Texts are shuffled once, by blocks of neighbouring ids. The last row of a
-    block finds the first of the next by joins over one row per block.
+    block takes the head of the next block, which is joined to the block: one row
+    per block moves for that.
     """
+    known = df.where(F.col(id_).isNotNull()).withColumn("_block", F.shiftright(id_, block_bits))
     within = Window.partitionBy("_block").orderBy(F.desc(id_), F.asc_nulls_first(text))
-    rows = df.withColumn("_block", F.floor(F.col(id_) / F.lit(block)).cast("long"))
-    rows = rows.withColumns(
-        {
-            "_next": F.lead(F.struct(F.col(text).alias("t"))).over(within),
-            "_place": F.row_number().over(within),
-        }
-    )
-    known = rows.where(F.col(id_).isNotNull())
-    inner = known.where(F.col("_next").isNotNull()).withColumn("_next", F.col("_next.t"))
-    blocks = dense_id(
-        df.where(F.col(id_).isNotNull())
-        .select(F.floor(F.col(id_) / F.lit(block)).cast("long").alias("_block"))
-        .distinct(),
-        [F.desc("_block")],
-        "_nth",
-    )
+    blocks = dense_id(known.select("_block").distinct(), [F.desc("_block")], "_nth")
     count = blocks.agg(F.max("_nth")).first()[0] or 1
     follows = blocks.select(
         F.col("_block").alias("_to"),
         F.when(F.col("_nth") == 1, F.lit(count)).otherwise(F.col("_nth") - 1).alias("_nth"),
     ).join(blocks, "_nth")
-    heads = known.where(F.col("_place") == 1).select(
-        F.col("_block").alias("_to"), F.col(text).alias("_head")
+    heads = (
+        known.withColumn("_place", F.row_number().over(within))
+        .where(F.col("_place") == 1)
+        .select(F.col("_block").alias("_to"), F.col(text).alias("_head"))
     )
-    edge = (
-        known.where(F.col("_next").isNull())
-        .drop("_next")
-        .join(follows.join(heads, "_to").select("_block", "_head"), "_block")
-        .withColumnRenamed("_head", "_next")
+    heads = follows.join(heads, "_to").select("_block", "_head")
+    linked = (
+        known.withColumns({"_next": F.lead(text).over(within), "_more": F.lead(F.lit(True)).over(within)})
+        .join(heads, "_block", "left")
+        .withColumn("_next", F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_head")))
     )
     alone = df.where(F.col(id_).isNull()).withColumn("_next", F.lit(None).cast("string"))
-    cols = [*df.columns, "_next"]
-    return inner.select(cols).unionByName(edge.select(cols)).unionByName(alone.select(cols))
+    return linked.select(*df.columns, "_next").unionByName(alone)
 
 
 def fingerprint_documents(
