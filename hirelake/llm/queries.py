@@ -1,12 +1,14 @@
 """The registered queries of the dealt operators and their DuckDB twins."""
 
 from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelake.llm.fingerprints import fingerprint_documents
 from hirelake.llm.mixing import mix_sources
 from hirelake.llm.packing import Limits, pack_documents
 from hirelake.llm.parity import jaccard_components
+from hirelake.llm.pii import KINDS, find_personal_data, spans_text
 from hirelake.llm.subspace import near_components
 from hirelake.llm.wavelet import read_shards, write_shards
 from hirelake.scratch import scratch_path
@@ -58,3 +60,17 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(_table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(k) for k in KINDS],
+        F.sha2(spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
