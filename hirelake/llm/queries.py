@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm.chat import format_conversations, read_formatted
+from hirelake.llm.cotraining import score_documents, train_quality
 from hirelake.llm.fingerprints import fingerprint_documents
 from hirelake.llm.mixing import mix_sources
 from hirelake.llm.packing import Limits, pack_documents
@@ -85,3 +86,9 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = _table(spark, sf_dir, "conversations").select(more.columns).unionByName(more)
     return read_formatted(materialise(format_conversations(turns), "formatted"))
+
+
+@query
+def op9_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_documents(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
