@@ -66,10 +66,9 @@ def mix_sources(
     share: float = 1.5,
     most_epochs: float = 2,
     seed: int = 17,
-    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(``doc_id``, ``size``, ``source_size``, ``target``, ``epochs``, ``cut``,
-    ``taken``) for every row of ``docs``, and the columns ``carry``.
+    """(``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``epochs``,
+    ``cut``, ``taken``) for every row of ``docs``.
 
     ``epochs`` is the number of whole uses, ``cut`` the words of one more, partial
     use of the document at the budget's edge; ``taken = epochs * size + cut``, so
@@ -78,7 +77,7 @@ def mix_sources(
     are interchangeable, and reruns agree. A null text has size 0, a null source
     is a source of its own (last in order), documents of size 0 are taken 0 words.
     """
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry)
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     order = [F.asc_nulls_last("source"), "_key", F.asc_nulls_first("doc_id"), "size"]
     slices = materialise(
         rows.withColumn("_key", F.xxhash64(F.lit(seed), "doc_id", "size"))
@@ -112,9 +111,8 @@ def mix_sources(
     last = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest))
     done = F.col("size") > 0
     return placed.select(
-        "doc_id", "size", "source_size", "target",
+        "doc_id", "source", "size", "source_size", "target",
         (whole + F.when(done & (last == F.col("size")), 1).otherwise(0)).alias("epochs"),
         F.when(done & (last < F.col("size")), last).otherwise(F.lit(0).cast("long")).alias("cut"),
         (whole * F.col("size") + last).alias("taken"),
-        *carry,
     )
