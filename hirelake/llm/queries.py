@@ -11,6 +11,7 @@ from hirelake.llm.mixing import mix_sources
 from hirelake.llm.packing import Limits, pack_documents
 from hirelake.llm.parity import jaccard_components
 from hirelake.llm.pii import KINDS, find_personal_data, spans_text
+from hirelake.llm.repeats import remove_repeats
 from hirelake.llm.subspace import near_components
 from hirelake.llm.wavelet import read_shards, write_shards
 from hirelake.scratch import materialise, scratch_path
@@ -92,3 +93,8 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return score_documents(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), 100)
