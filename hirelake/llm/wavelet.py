@@ -212,7 +212,7 @@ def write_shards(
     order = [F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")]
     (
         docs.select("doc_id", "text")
-        .repartitionByRange(*order)
+        .repartitionByRange(order[0])
         .sortWithinPartitions(*order)
         .mapInArrow(encode, SHARDS)
         .write.option("compression", "zstd")
