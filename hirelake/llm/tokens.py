@@ -2,6 +2,7 @@
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -9,26 +10,45 @@ import pyarrow as pa
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# ASCII letters, then signs that the tokenizer splits off: the two parts have
-# their own ids. Apostrophes and the signs of special tokens are left out.
-_TAIL = re.compile(r"([A-Za-z]+)([!-&(-/:;=?@\[-`{}~]+)")
+# Letters, then signs that the tokenizer splits off: the two parts have their own
+# ids. Apostrophes and the signs of special tokens are left out.
+_TAIL = re.compile(r"([^\W\d_]+)([!-&(-/:;=?@\[-`{}~]+)")
 # Separators for Python's split() that are no white space to the tokenizers.
 _ODD = re.compile("[\x1c-\x1f]")
 
 
+def _byte_signs() -> dict[int, str]:
+    """The sign that a byte-level vocabulary writes for each byte: itself where
+    it is visible in Latin-1, else the next one from U+0100 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_SIGNS = _byte_signs()
+
+
+def _plain(word: str) -> bool:
+    """Whether a word is Latin letters that normalising only lower-cases."""
+    return word.isalpha() and max(word) < "\u0250" and word.lower().isalpha()
+
+
 class Encoder:
     """``tokenizers`` without special tokens added.
 
-    ``by_word`` is for tokenizers that split at white space and drop it (as
-    ``word_bpe_49k.json`` does): a text's ids are then its words' ids one after
-    the other, so the tokenizer only sees words that this worker has not met.
-    At most ``most_words`` words of up to 64 characters are remembered.
+    ``by_word`` is for byte-level tokenizers that lower-case, split at white space
+    and drop it, and keep runs of letters whole (as ``word_bpe_49k.json`` does): a
+    text's ids are then its words' ids one after the other. Only words that this
+    worker has not met are encoded, and words of plain letters go straight to the
+    tokenizer's model. About ``most_words`` words of up to 64 characters are
+    remembered, then all are forgotten.
     """
 
-    def __init__(self, path: str, by_word: bool, most_words: int = 600_000):
+    def __init__(self, path: str, by_word: bool, most_words: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.by_word = by_word
         self.most_words = most_words
         self.known: dict[str, bytes] = {}
@@ -37,22 +57,23 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in found]
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not known yet."""
-        parts = {w: (m[1].lower(), m[2]) for w in words if (m := _TAIL.fullmatch(w))}
-        new = [w for w in words if w not in parts]
+    def _model(self, word: str) -> bytes:
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_SIGNS)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        """Add the ids of words that are not known yet."""
+        parts = {w: (m[1], m[2]) for w in words if (m := _TAIL.fullmatch(w)) and _plain(m[1])}
         pieces = {p for pair in parts.values() for p in pair}
-        new += [p for p in pieces if p not in self.known and p not in words or p in parts]
-        new = list(dict.fromkeys(new))
-        made = dict(zip(new, self._encode(new), strict=True))
-        if len(self.known) + len(made) + len(parts) > self.most_words:
-            for p in pieces & self.known.keys():
-                made.setdefault(p, self.known[p])
-            self.known = {}
-        look = lambda p: made[p] if p in made else self.known[p]
-        made |= {w: look(a) + look(b) for w, (a, b) in parts.items()}
-        self.known |= {w: b for w, b in made.items() if len(w) <= 64}
-        return made
+        made = {p: self.known[p] for p in pieces if p in self.known}
+        new = (words | pieces) - parts.keys() - made.keys()
+        hard = [w for w in new if not _plain(w)]
+        made |= zip(hard, self._encode(hard), strict=True)
+        made |= {w: self._model(w) for w in new if _plain(w)}
+        made |= {w: made[a] + made[b] for w, (a, b) in parts.items()}
+        self.known |= made
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers."""
@@ -64,13 +85,15 @@ class Encoder:
                 out.append(np.frombuffer(self._encode([text])[0], np.uint32))
                 continue
             words = text.split()
-            known = self.known
-            try:
-                joined = b"".join([known[w] for w in words])
-            except KeyError:
-                made = self._learn({w for w in words if w not in known})
-                joined = b"".join([made[w] if w in made else known[w] for w in words])
-            out.append(np.frombuffer(joined, np.uint32))
+            if len(self.known) > self.most_words:
+                self.known = {}
+            missing = set(words).difference(self.known)
+            if missing:
+                self._learn(missing)
+            out.append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32))
+            for w in missing:
+                if len(w) > 64:
+                    del self.known[w]
         return out
 
 
