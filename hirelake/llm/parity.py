@@ -5,7 +5,7 @@ bit, so the sketches of two sets differ in at most as many bits as the sets diff
 in shingles. Sets that reach the similarity differ in at most ``D`` shingles, with
 ``D`` given by their sizes. Per band of sizes the sketch is cut into more than
 ``D`` pieces: two such sketches then agree in a whole piece, and only texts that
-share a piece are compared, exactly.
+share a piece are compared, first by the distance of their sketches, then exactly.
 
 Why no link is lost. Of ``D + 1 + E`` pieces, at least ``E + 1`` agree. If one of
 the two sketches has at most ``E`` empty pieces, a non-empty piece agrees, and
@@ -14,6 +14,13 @@ those of a second sketch under another seed as well, and so on; after the last
 seed it offers its empty pieces, too. If both texts have too many under a seed,
 both go on to the next one.
 
+Passages that many texts share would fill whole pieces. So shingles in the most
+crowded of 2**20 counters are left out, if enough others remain: without them two
+sets differ by no more than before, so their numbers of remaining shingles differ
+by ``D`` at most. A text with at least ``3 D`` of them offers pieces of these, one
+with less than ``4 D`` offers pieces of all: two linked texts meet in one or the
+other.
+
 Linear in the text: a set of n shingles offers about 0.3 n pieces at 0.85.
 """
 
@@ -22,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.llm import hashing as H
@@ -36,19 +43,25 @@ _RATIO = 1.5  # from one band of sizes to the next
 
 @dataclass(frozen=True)
 class SizeBand:
-    """Pairs whose smaller set has ``low`` to ``high`` shingles."""
+    """Pairs whose smaller set has ``low`` to ``high`` shingles; linked ones differ
+    in ``differ`` shingles at most."""
 
     number: int
     low: int
     high: int
-    pieces: int
-    spare: int  # E
+    differ: int
 
 
 def largest_partner(n: int, percent: int) -> int:
     return n * 100 // percent
 
 
+def _spare(pieces: int, tokens: int) -> int:
+    """Empty pieces that few sketches of so many tokens exceed."""
+    empty = pieces * np.exp(-tokens / pieces)
+    return int(empty + 3 * np.sqrt(empty))
+
+
 def size_bands(most: int, percent: int) -> list[SizeBand]:
     """Bands for sets of up to ``most`` shingles."""
     bands, low = [], 1
@@ -56,88 +69,196 @@ def size_bands(most: int, percent: int) -> list[SizeBand]:
         high = max(low, int(low * _RATIO) - 1)
         # |A and B| * 100 >= p |A or B| allows (100 - p) / (100 + p) of |A| + |B| to differ
         d = (100 - percent) * (high + largest_partner(high, percent)) // (100 + percent)
-        if d == 0:
-            spare = 0
-        else:
-            empty = (d + 1) * np.exp(-low / (d + 1))
-            spare = int(empty + 3 * np.sqrt(empty))
-        bands.append(SizeBand(len(bands), low, high, d + 1 + spare, spare))
+        bands.append(SizeBand(len(bands), low, high, d))
         low = high + 1
     return bands
 
 
-def offers(sets: np.ndarray, begin: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of all pieces that the rows offer."""
+def _offer(sets: np.ndarray, begin: np.ndarray, member: np.ndarray, d: int, tokens: int, salt: int) -> tuple[list, list]:
+    """(keys, rows) of the pieces of the member rows' sets; ``tokens`` is the
+    least number that most of them have, ``salt`` tells bands and kinds apart."""
+    keys, rows = [], []
+    spare = _spare(d + 1, tokens) if d else 0
+    pieces = d + 1 + spare
+    sizes = np.diff(begin)
+    for seed in range(_SEEDS):
+        at = np.flatnonzero(member)
+        if not len(at):
+            break
+        n = sizes[at]
+        local = np.repeat(np.arange(len(at)), n)
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        token = H.mix(sets[begin[at][local] + inside] + H.U64(seed + 1))
+        width = H.U64(pieces * _BITS)
+        place = local.astype(H.U64) * width + token % width
+        place.sort()
+        piece = place // H.U64(_BITS)
+        first = np.flatnonzero(np.concatenate(([True], piece[1:] != piece[:-1]))) if len(place) else np.zeros(0, np.int64)
+        # equal bits cancel: what is left is a hash of the piece's parities
+        sketch = np.bitwise_xor.reduceat(H.mix(place % width + H.U64(1)), first) if len(first) else place
+        piece = piece[first]
+        piece, sketch = piece[sketch != 0], sketch[sketch != 0]
+        row, number = (piece // H.U64(pieces)).astype(np.int64), piece % H.U64(pieces)
+        base = H.U64((salt * _SEEDS + seed + 1) << 32)
+        keys.append(H.mix(sketch ^ H.mix(number + base)))
+        rows.append(at[row])
+        over = pieces - np.bincount(row, minlength=len(at)) > spare
+        if seed == _SEEDS - 1 and over.any():
+            has = np.zeros((len(at), pieces), bool)
+            has[row, number.astype(np.int64)] = True
+            which, gap = np.nonzero(~has & over[:, None])
+            keys.append(H.mix(H.mix(gap.astype(H.U64) + base)))
+            rows.append(at[which])
+        member = np.zeros(len(sizes), bool)
+        member[at[over]] = True
+    return keys, rows
+
+
+def offers(sets: np.ndarray, begin: np.ndarray, percent: int, crowded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of all pieces that the rows offer; ``crowded`` marks counters."""
     sizes = np.diff(begin)
     keys, rows = [], []
-    bands = size_bands(int(sizes.max(initial=0)), percent)
-    for band in bands:
+    rare = ~crowded[_counter(sets)]
+    kept = np.concatenate(([0], np.cumsum(rare)))[begin]
+    rest, n_rest = sets[rare], np.diff(kept)
+    for band in size_bands(int(sizes.max(initial=0)), percent):
         member = (sizes >= band.low) & (sizes * percent <= band.high * 100)
-        for seed in range(_SEEDS):
-            at = np.flatnonzero(member)
-            if not len(at):
-                break
-            n = sizes[at]
-            local = np.repeat(np.arange(len(at)), n)
-            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            tokens = H.mix(sets[begin[at][local] + inside] + H.U64(seed + 1))
-            width = H.U64(band.pieces * _BITS)
-            place = local.astype(H.U64) * width + tokens % width
-            place.sort()
-            piece = place // H.U64(_BITS)
-            first = np.flatnonzero(np.concatenate(([True], piece[1:] != piece[:-1])))
-            # equal bits cancel: what is left is a hash of the piece's parities
-            sketch = np.bitwise_xor.reduceat(H.mix(place % width + H.U64(1)), first)
-            piece = piece[first]
-            filled = sketch != 0
-            sketch, piece = sketch[filled], piece[filled]
-            row = (piece // H.U64(band.pieces)).astype(np.int64)
-            salt = H.mix(piece % H.U64(band.pieces) + H.U64((band.number * _SEEDS + seed + 1) << 32))
-            keys.append(H.mix(sketch ^ salt))
-            rows.append(at[row])
-            empty = band.pieces - np.bincount(row, minlength=len(at))
-            over = empty > band.spare
-            if seed == _SEEDS - 1 and over.any():
-                has = np.zeros((len(at), band.pieces), bool)
-                has[row, (piece % H.U64(band.pieces)).astype(np.int64)] = True
-                which, gap = np.nonzero(~has & over[:, None])
-                salt = H.mix(gap.astype(H.U64) + H.U64((band.number * _SEEDS + seed + 1) << 32))
-                keys.append(H.mix(salt))
-                rows.append(at[which])
-            member = np.zeros(len(sizes), bool)
-            member[at[over]] = True
+        d = band.differ
+        for found in (
+            _offer(rest, kept, member & (n_rest >= 3 * d), d, 3 * d, 2 * band.number) if d else ([], []),
+            _offer(sets, begin, member & ((n_rest < 4 * d) | (d == 0)), d, band.low, 2 * band.number + 1),
+        ):
+            keys += found[0]
+            rows += found[1]
     if not keys:
         return np.zeros(0, H.U64), np.zeros(0, np.int64)
     return np.concatenate(keys), np.concatenate(rows)
 
 
-SKETCHES = "doc_id long, n_shingles long, set_a long, set_b long, pieces array<long>"
+_COUNTERS = 1 << 20
+_CHUNK = 1 << 14
+
+
+def _counter(sets: np.ndarray) -> np.ndarray:
+    return (sets >> H.U64(64 - 20)).astype(np.int64)
+
 
+def _sketch_bits(n: int) -> int:
+    """Width of a whole sketch: a power of two, about two bits a shingle."""
+    return 1 << min(13, max(8, int(2 * n - 1).bit_length()))
 
-def sketch_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Set size, a 128-bit signature of the set and the offered pieces of every
-    document; null texts are empty."""
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole_sketches(sets: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """Parity of the shingles by their lowest bits, 64 to a number."""
+    out = []
+    for a, b in zip(begin[:-1], begin[1:], strict=True):
+        bits = np.bincount((sets[a:b] & H.U64(_sketch_bits(b - a) - 1)).astype(np.int64), minlength=_sketch_bits(b - a))
+        out.append(np.packbits((bits & 1).astype(np.uint8), bitorder="little").view(np.int64))
+    return out
+
+
+ROWS = "doc_id long, n long, set_a long, set_b long, sketch array<long>, chunk int, counts binary"
+_ID_MASK, _KEY_MASK = (1 << 40) - 1, (1 << 48) - 1
+
+
+def _set_rows(docs: DataFrame, k: int) -> DataFrame:
+    """For every document its set's size, 128-bit signature and whole sketch; and
+    for every task its counters of shingles, in chunks (``chunk`` not null)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in ROWS.split(", ")]
+        longs = pa.list_(pa.int64())
+        counts = np.zeros(_COUNTERS, np.int32)
         for batch in batches:
-            ids = batch.column("doc_id")
             for row, data, offsets in H.slices(batch.column("text")):
                 sets, begin = H.shingle_sets(data, offsets, k)
-                keys, of = offers(sets, begin, percent)
-                order = np.argsort(of, kind="stable")
-                ends = np.searchsorted(of[order], np.arange(len(begin)))
+                counts += np.bincount(_counter(sets), minlength=_COUNTERS).astype(np.int32)
+                n = len(begin) - 1
+                sketches = _whole_sketches(sets, begin)
+                ends = np.concatenate(([0], np.cumsum([len(s) for s in sketches])))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(row, len(begin) - 1),
+                        batch.column("doc_id").slice(row, n),
                         pa.array(np.diff(begin)),
                         pa.array(H.signed(H.row_sums(H.mix(sets ^ H.U64(0xA5A5A5A5)), begin))),
                         pa.array(H.signed(H.row_sums(H.mix(sets + H.U64(0x5A5A5A5A)), begin))),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(H.signed(keys[order]))),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sketches))),
+                        pa.nulls(n, pa.int32()),
+                        pa.nulls(n, pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "pieces"],
+                    names,
                 )
+        if counts.any():
+            chunks = counts.reshape(-1, _CHUNK)
+            none = [pa.nulls(len(chunks), pa.int64())] * 4
+            yield pa.RecordBatch.from_arrays(
+                [*none, pa.nulls(len(chunks), longs), pa.array(range(len(chunks)), pa.int32()), pa.array([c.tobytes() for c in chunks])],
+                names,
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(rows, ROWS)
+
+
+def _crowded(rows: DataFrame) -> np.ndarray:
+    """Marks of the counters far above the mean. The driver gets 2**20 bits."""
 
-    return docs.select("doc_id", "text").mapInArrow(sketch, SKETCHES)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, c in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                part = np.frombuffer(c, np.int32).astype(np.int64)
+                totals[i] = totals[i] + part if i in totals else part
+        if totals:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()])], ["chunk", "counts"]
+            )
+
+    sums = materialise(
+        rows.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary"),
+        "counters",
+    )  # one row for each of 64 chunks
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(np.frombuffer(c, np.int64).sum()) for c in batch.column("counts").to_pylist()], pa.int64())], ["n"]
+            )
+
+    mean = (sums.mapInArrow(total, "n long").agg(F.sum("n")).first()[0] or 0) / _COUNTERS
+    limit = max(64, 16 * mean)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(np.frombuffer(c, np.int64) > limit).tobytes() for c in batch.column("counts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(bits, pa.binary())], ["chunk", "bits"])
+
+    marks = np.zeros((_COUNTERS // _CHUNK, _CHUNK), bool)
+    for chunk, bits in sums.mapInArrow(mark, "chunk int, bits binary").collect():
+        marks[chunk] = np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool)
+    return marks.reshape(-1)
+
+
+def _offered(docs: DataFrame, k: int, percent: int, crowded: np.ndarray) -> DataFrame:
+    """(``key``, ``sid``): each piece with the low bits of its set's signature."""
+    packed = np.packbits(crowded)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.unpackbits(packed).view(bool)
+        for batch in batches:
+            for _, data, offsets in H.slices(batch.column("text")):
+                sets, begin = H.shingle_sets(data, offsets, k)
+                sid = H.row_sums(H.mix(sets ^ H.U64(0xA5A5A5A5)), begin) & H.U64(_ID_MASK)
+                keys, row = offers(sets, begin, percent, marks)
+                for a in range(0, len(keys), 100_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(H.signed(keys[a : a + 100_000] & H.U64(_KEY_MASK))),
+                            pa.array(H.signed(sid[row[a : a + 100_000]])),
+                        ],
+                        ["key", "sid"],
+                    )
+
+    return docs.select("text").mapInArrow(pieces, "key long, sid long")
 
 
 def shingle_arrays(docs: DataFrame, k: int) -> DataFrame:
@@ -158,6 +279,35 @@ def shingle_arrays(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("node", "text").mapInArrow(hashed, "node long, shingles array<long>")
 
 
+def _fold(sketch: Column, size: Column) -> Column:
+    """A sketch at a smaller width (a power of two): numbers that fall together
+    are XORed, as the shingles' parities are."""
+    return F.when(F.size(sketch) <= size, sketch).otherwise(
+        F.transform(
+            F.sequence(F.lit(0), size - 1),
+            lambda i: F.aggregate(
+                F.sequence(F.lit(0), F.floor(F.size(sketch) / size).cast("int") - 1),
+                F.lit(0).cast("long"),
+                lambda acc, j: acc.bitwiseXOR(F.get(sketch, i + j * size)),
+            ),
+        )
+    )
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches differ in no more bits than linked sets may."""
+    a = sketches.select(F.col("node").alias("u"), F.col("n").alias("_na"), F.col("sketch").alias("_a"))
+    b = sketches.select(F.col("node").alias("v"), F.col("n").alias("_nb"), F.col("sketch").alias("_b"))
+    size = F.least(F.size("_a"), F.size("_b"))
+    differ = F.aggregate(
+        F.zip_with(_fold(F.col("_a"), size), _fold(F.col("_b"), size), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda acc, x: acc + x,
+    )
+    both = pairs.join(a, "u").join(b, "v")
+    return both.where(differ * (100 + percent) <= (F.col("_na") + F.col("_nb")) * (100 - percent)).select("u", "v").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(``u``, ``v``, ``linked``) of the candidate pairs, by their whole sets."""
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("_a"))
@@ -167,10 +317,30 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").select("u", "v", (both * 100 >= union * percent).alias("linked"))
 
 
-def _possible(n_a: str, n_b: str, percent: int) -> "F.Column":
+def _possible(n_a: str, n_b: str, percent: int) -> Column:
     return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
 
 
+def _across(groups: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a group that lie in different components."""
+    placed = groups.join(parts, "node", "left").select(
+        "key", "node", "n", F.coalesce("component", "node").alias("component")
+    )
+    mixed = (
+        placed.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
+        .where(F.col("_a") != F.col("_b")).select("key")
+    )
+    placed = materialise(placed.join(mixed, "key"), "mixed")
+    other = placed.select("key", F.col("node").alias("v"), F.col("n").alias("_n"), F.col("component").alias("_c"))
+    return (
+        placed.withColumnRenamed("node", "u")
+        .join(other, "key")
+        .where((F.col("u") < F.col("v")) & (F.col("component") != F.col("_c")) & _possible("n", "_n", percent))
+        .select("u", "v")
+        .distinct()
+    )
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(``doc_id``, ``n_shingles``, ``component_id``) of every document.
 
@@ -179,80 +349,72 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     reachable. Documents of fewer than ``k`` words have their whole sequence as
     the one shingle; without words they are linked with nothing. Rows without a
     ``doc_id`` are linked with nothing and have no component. Documents with the
-    same set count as one node from here on, whatever their number.
-
-    Candidates are verified in two steps. In each group of texts with the same
-    piece, all are compared with the text that shares the most pieces, which
-    settles almost every group; then those pairs of a group are compared that
-    still lie in different components. No pair within a component is enumerated.
+    same set count as one node from here on, whatever their number; rows that
+    repeat an id must repeat its text.
+
+    In each group of texts with the same piece, all are compared by sketch with
+    the text that shares the most pieces, which settles almost every group; then
+    those pairs of a group that still lie in different components. What passes is
+    verified by the whole sets. If that splits components, pairs across the parts
+    are compared once more. Pairs within a component are never enumerated.
     """
-    spark = docs.sparkSession
-    sketched = materialise(sketch_documents(docs.where(F.col("doc_id").isNotNull()), k, percent), "sketches")
-    filled = sketched.where(F.col("n_shingles") > 0)
+    named = docs.where(F.col("doc_id").isNotNull())
+    rows = materialise(_set_rows(named, k), "sets")
+    crowded = _crowded(rows)
+    known_rows = rows.where("chunk is null")
+    filled = known_rows.where("n > 0")
     nodes = materialise(
-        filled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n")),
+        filled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"))
+        .withColumn("sid", F.col("set_a").bitwiseAND(F.lit(_ID_MASK))),
         "nodes",
-    )
+    )
     # groups of different sets that offer the same piece
     piece = Window.partitionBy("key")
     shared = materialise(
-        filled.select(F.explode("pieces").alias("key"), "set_a")
-        .withColumns({"_low": F.min("set_a").over(piece), "_high": F.max("set_a").over(piece)})
+        _offered(named, k, percent, crowded)
+        .withColumns({"_low": F.min("sid").over(piece), "_high": F.max("sid").over(piece)})
         .where(F.col("_low") != F.col("_high"))
-        .select("key", "set_a")
+        .select("key", "sid")
         .distinct(),
         "shared",
     )
-    weights = shared.groupBy("key").agg(F.count(F.lit(1)).alias("_w"))
-    popular = shared.join(weights, "key").groupBy("set_a").agg(F.sum("_w").alias("weight"))
-    known = materialise(nodes.join(popular, "set_a").select("set_a", "node", "n", "weight"), "popular")
-    groups = materialise(shared.join(known, "set_a").select("key", "node", "n", "weight"), "groups")
-
-    wanted = known.select(F.col("node").alias("_node")).distinct()
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, F.col("node") == F.col("_node"), "left_semi")
-    sets = materialise(shingle_arrays(texts, k).dropDuplicates(["node"]), "sets")
+    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("_w"))
+    popular = shared.join(sizes, "key").groupBy("sid").agg(F.sum("_w").alias("weight"))
+    known = materialise(nodes.join(popular, "sid").select("sid", "node", "n", "weight"), "popular")
+    groups = materialise(shared.join(known, "sid").select("key", "node", "n", "weight"), "groups")
+    sketches = materialise(
+        filled.select(F.col("doc_id").alias("node"), "n", "sketch").join(known.select("node").distinct(), "node", "left_semi"),
+        "sketches",
+    )
 
     centre = groups.groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("_c"))
     stars = (
         groups.join(centre, "key")
         .where((F.col("node") != F.col("_c.node")) & _possible("n", "_c.n", percent))
-        .select(F.col("_c.node").alias("u"), F.col("node").alias("v"))
-    )
-    first = materialise(
-        _verified(stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), sets, percent),
-        "verified",
-    )
-    found = first.where("linked").select("u", "v")
-    parts = materialise(components(found), "components")
-
-    placed = groups.join(parts, "node", "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component")
-    )
-    mixed = materialise(
-        placed.join(
-            placed.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
-            .where(F.col("_a") != F.col("_b")).select("key"),
-            "key",
-        ),
-        "mixed",
-    )
-    other = mixed.select("key", F.col("node").alias("v"), F.col("n").alias("_n"), F.col("component").alias("_c"))
-    rest = (
-        mixed.withColumnRenamed("node", "u")
-        .join(other, "key")
-        .where((F.col("u") < F.col("v")) & (F.col("component") != F.col("_c")) & _possible("n", "_n", percent))
-        .select("u", "v")
+        .select(F.least("_c.node", "node").alias("u"), F.greatest("_c.node", "node").alias("v"))
         .distinct()
-        .join(first, ["u", "v"], "left_anti")
     )
-    more = _verified(rest, sets, percent).where("linked").select("u", "v")
-    all_links = materialise(more, "more").union(parts.select(F.col("node").alias("u"), F.col("component").alias("v")))
-    final = materialise(components(all_links), "components")
-
-    labelled = nodes.join(final, "node", "left").select(
+    likely = materialise(_near(stars, sketches, percent), "likely")
+    across = _near(_across(groups, materialise(components(likely), "parts"), percent), sketches, percent)
+    pairs = materialise(likely.union(across).distinct(), "pairs")
+
+    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    texts = named.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    sets = materialise(shingle_arrays(texts, k), "shingles")
+    links = materialise(_verified(pairs, sets, percent).where("linked").select("u", "v").distinct(), "linked")
+    parts = materialise(components(links), "parts")
+
+    left = materialise(_near(_across(groups, parts, percent).join(pairs, ["u", "v"], "left_anti"), sketches, percent), "left")
+    if not left.isEmpty():
+        more = _verified(left, sets, percent).where("linked").select("u", "v")
+        parts = materialise(components(links.union(more)), "parts")
+
+    labelled = nodes.join(parts, "node", "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("component_id")
     )
-    linked = sketched.select("doc_id", "n_shingles", "set_a", "set_b").join(labelled, ["set_a", "set_b"], "left")
+    linked = known_rows.select("doc_id", F.col("n").alias("n_shingles"), "set_a", "set_b").join(
+        labelled, ["set_a", "set_b"], "left"
+    )
     answer = linked.select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
