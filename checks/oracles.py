@@ -115,8 +115,13 @@ _DEDUP_KEYS = "Role, Location, country, salary, work_type"
 # --- pages ------------------------------------------------------------------
 
 _UNITS = "CASE o_orderkey % 3 WHEN 0 THEN 'm' WHEN 1 THEN 'h' ELSE 'd' END"
-_CARDS = """cards AS (
-  SELECT o_orderkey AS page_id, 0 AS position, 'Data Engineer' AS keyword,
+_TERM = """CASE o_orderkey % 4 WHEN 0 THEN 'Data Engineer' WHEN 1 THEN 'ETL Developer'
+  WHEN 2 THEN 'Big Data Engineer' ELSE 'Chef' END"""
+# Two keywords or more among the role's words.
+_MATCHES = rf"""len(list_intersect(regexp_extract_all(lower(Role), '\w+'),
+  [{_quoted([k.lower() for k in vocab.ROLE_KEYWORDS])}])) >= 2"""
+_CARDS = f"""cards AS (
+  SELECT o_orderkey AS page_id, 0 AS position, {_TERM} AS keyword,
     CAST(o_orderkey AS VARCHAR) AS Job_ID, concat('Data & Engineer ', o_orderpriority) AS Role,
     concat('PT A', o_custkey) AS Company, concat('City', chr(10), o_orderstatus) AS Location,
     strftime(o_orderdate - CASE o_orderkey % 3
@@ -124,7 +129,8 @@ _CARDS = """cards AS (
         ELSE to_days(CAST(o_orderkey % 50 AS INTEGER)) END, '%Y-%m-%d %H:%M:%S') AS Publish_Time
   FROM orders
   UNION ALL
-  SELECT o_orderkey, 1, 'Data Engineer', concat(o_orderkey, 'x'), concat('ETL Developer ', o_orderstatus),
+  SELECT o_orderkey, 1, {_TERM}, concat(o_orderkey, 'x'), concat(
+    CASE WHEN o_orderkey % 5 = 0 THEN 'Office Manager ' ELSE 'ETL Developer ' END, o_orderstatus),
     NULL, NULL, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
   FROM orders)"""
 _CARD_DETAILS = """details AS (
@@ -220,11 +226,12 @@ ORACLES = {
     "quality_duplicates": _CLEAN.format(
         "SELECT job_id_platform FROM clean GROUP BY job_id_platform HAVING count(*) > 1"
     ),
-    "quality_report": _CLEAN.format(
-        """SELECT (SELECT count(*) FROM clean WHERE job_id_platform IS NULL OR role IS NULL
-            OR company IS NULL OR posted_time IS NULL OR url IS NULL) AS null_count,
-          (SELECT count(*) FROM (SELECT 1 FROM clean GROUP BY job_id_platform
-            HAVING count(*) > 1)) AS dup_count"""
+    "quality_report": _with(
+        _POSTINGS,
+        """SELECT (SELECT count(*) FROM postings WHERE Job_ID IS NULL OR Role IS NULL
+            OR Company IS NULL OR Publish_Time IS NULL OR URL IS NULL) AS null_count,
+          (SELECT count(*) FROM (SELECT 1 FROM postings GROUP BY Job_ID
+            HAVING count(*) > 1)) AS dup_count""",
     ),
     "publish_time_from_age": f"""SELECT event_id,
       strftime({_AGE}, '%Y-%m-%d %H:%M:%S') AS publish_time FROM events""",
@@ -254,7 +261,7 @@ ORACLES = {
         """SELECT *, concat('https://example.com/job/', Job_ID) AS URL, 'indonesia' AS country
           FROM cards""",
     ),
-    "page_cards_matching": _with(_CARDS, "SELECT Job_ID, Role FROM cards"),
+    "page_cards_matching": _with(_CARDS, f"SELECT Job_ID, Role FROM cards WHERE {_MATCHES}"),
     "page_job_details": _with(_CARD_DETAILS, "SELECT * FROM details"),
     "attach_details": """SELECT URL, Role, coalesce(job_desc, '') AS job_desc,
         coalesce(salary, '') AS salary, coalesce(work_type, '') AS work_type
@@ -271,7 +278,9 @@ ORACLES = {
             coalesce(job_desc, '') AS job_desc, coalesce(salary, '') AS salary,
             coalesce(work_type, '') AS work_type, 'board_north' AS source,
             DATE '2025-07-18' AS table_date
-          FROM (SELECT *, concat('https://example.com/job/', Job_ID) AS URL FROM cards)
+          FROM (SELECT *, concat('https://example.com/job/', Job_ID) AS URL FROM cards
+            WHERE """ + _MATCHES + f""" AND keyword IN ({_quoted(vocab.SEARCH_TERMS)})
+              AND Publish_Time > '1994-06-30 00:00:00')
           LEFT JOIN (SELECT * EXCLUDE (page_id) FROM details) USING (URL)""",
     ),
     "csv_round_trip": _with(_POSTINGS, f"SELECT {_CSV_RAW} FROM postings"),
@@ -298,10 +307,15 @@ ORACLES = {
     "load_incremental": _with(
         _POSTINGS,
         _STAGED,
-        f"SELECT * FROM staged WHERE table_date = DATE '2025-07-18' OR ({_SECOND})",
+        "SELECT * FROM staged",
+    ),
+    "stream_ingest": _with(_POSTINGS, f"SELECT {_CSV_RAW} FROM postings"),
+    "csv_columns_by_name": _with(
+        _POSTINGS, "SELECT URL, Job_ID, Role, Company, Location, Publish_Time FROM postings"
     ),
-    "stream_ingest": _with(
-        _POSTINGS, f"SELECT {_CSV_RAW} FROM postings WHERE source = 'board_south'"
+    "last_processed_time": _with(
+        _POSTINGS,
+        "SELECT source, '' AS first_run, max(Publish_Time) AS mark FROM postings GROUP BY source",
     ),
     "daily_run_silver": _with(_POSTINGS, _clean("postings", "source,"), _silver("clean", "source,")),
     "daily_run_gold": _with(

@@ -10,7 +10,7 @@ from hirelake.functions.text import clean_text, role_casing, role_matches, work_
 from hirelake.functions.times import parse_time_lenient, publish_time, render_time
 from hirelake.operators import dedup, incremental, pages, quality, reports, words
 from hirelake.operators.keys import dense_id
-from hirelake.plans.daily import DailyRun, collect_pages, run_daily
+from hirelake.plans.daily import DailyRun, collect_pages, last_processed_time, run_daily
 from hirelake.plans.silver import build_silver, clean_postings
 from hirelake.schema import RAW
 from hirelake.scratch import materialise, scratch_path
@@ -19,24 +19,24 @@ from hirelake.streaming.ingest import raw_stream, stream_bronze
 
 RAW_COLUMNS = RAW.fieldNames()
 URL_PREFIX = "https://example.com/job/"
+MARK = "1994-06-30 00:00:00"
 
 
 # --- gold words -------------------------------------------------------------
 
 
 def word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.word_frequency(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return words.word_frequency(table(spark, sf_dir, "documents"), "doc_id", "text", unique_keys=True)
 
 
 def word_frequency_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.word_frequency_semi_join(table(spark, sf_dir, "documents"), "doc_id", "text")
+    docs = table(spark, sf_dir, "documents")
+    return words.word_frequency_semi_join(docs, "doc_id", "text", unique_keys=True)
 
 
 def word_frequency_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many texts per key: each word still counts once per key."""
-    return words.word_frequency(
-        table(spark, sf_dir, "conversations"), "conv_id", "text", unique_keys=False
-    )
+    return words.word_frequency(table(spark, sf_dir, "conversations"), "conv_id", "text")
 
 
 def word_frequency_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,17 +46,18 @@ def word_frequency_stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         for t, c in (("nation", "n_name"), ("region", "r_name"))
     ]
     stop = names[0].union(names[1])
-    return words.word_frequency(table(spark, sf_dir, "documents"), "doc_id", "text", stop, 50)
+    docs = table(spark, sf_dir, "documents")
+    return words.word_frequency(docs, "doc_id", "text", stop, 50, unique_keys=True)
 
 
 def word_frequency_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return words.word_frequency(docs, "doc_id", "text", top=20, by=["lang"])
+    return words.word_frequency(docs, "doc_id", "text", top=20, by=["lang"], unique_keys=True)
 
 
 def job_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct words per job, before counting; summed up per job."""
-    rows = words.job_words(table(spark, sf_dir, "documents"), "doc_id", "text")
+    rows = words.job_words(table(spark, sf_dir, "documents"), "doc_id", "text", unique_keys=True)
     return rows.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("words"), F.max("word").alias("last_word")
     )
@@ -109,7 +110,10 @@ DEDUP_COLUMNS = ["Role", "Location", "Publish_Time", "country", "salary", "work_
 
 
 def dedup_ignoring_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.dedup_ignoring(postings(spark, sf_dir).select(*DEDUP_COLUMNS), "Publish_Time", "copies")
+    rows = postings(spark, sf_dir).select(*DEDUP_COLUMNS)
+    timed = rows.withColumn("Publish_Time", parse_time_lenient(F.col("Publish_Time")))
+    first = dedup.dedup_ignoring(timed, "Publish_Time", "copies")
+    return first.withColumn("Publish_Time", render_time(F.col("Publish_Time")))
 
 
 def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +147,9 @@ def quality_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(clean_postings(postings(spark, sf_dir)))
+    """Both checks over postings as they come, with gaps and repeated ids."""
+    rows = postings(spark, sf_dir)
+    return quality.quality_report(rows, "Job_ID", ["Job_ID", "Role", "Company", "Publish_Time", "URL"])
 
 
 # --- times and increments ---------------------------------------------------
@@ -257,7 +263,7 @@ def collected_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "collect") + "/Source_Data_board_north"
     collect_pages(
         search_pages(spark, sf_dir), detail_pages(spark, sf_dir), folder,
-        "board", URL_PREFIX, "indonesia", "20250718_201025",
+        "board", URL_PREFIX, "indonesia", "20250718_201025", MARK,
     )
     return raw.read_raw(spark, folder, "json")
 
@@ -278,9 +284,7 @@ def _raw_zone(spark: SparkSession, sf_dir: str, *formats: str) -> str:
 
 
 def _read_zone(spark: SparkSession, root: str, fmt: str) -> DataFrame:
-    return raw.concat_raw(
-        *[raw.read_raw(spark, f"{root}/Source_Data_{s}", fmt) for s in ("board_north", "board_south")]
-    )
+    return raw.read_raw(spark, [f"{root}/Source_Data_{s}" for s in ("board_north", "board_south")], fmt)
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,9 +300,22 @@ def files_of_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _raw_zone(spark, sf_dir, "csv")
     north = raw.read_raw(spark, f"{root}/Source_Data_board_north", table_date="2025-07-18")
     south = raw.read_raw(spark, f"{root}/Source_Data_board_south")
-    return raw.concat_raw(
-        raw.require_nonempty(north, "2025-07-18"), raw.files_for_date(south, "2025-07-18")
-    )
+    return raw.concat_raw(north, raw.files_for_date(south, "2025-07-18"))
+
+
+def csv_columns_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files under three headers: all ten columns, the first six, and another
+    order with a column that is not known."""
+    folder = scratch_path(spark, "headers") + "/Source_Data_board_north"
+    rows = postings(spark, sf_dir)
+    headers = {0: RAW_COLUMNS, 1: RAW_COLUMNS[:6], 2: [*reversed(RAW_COLUMNS[1:]), "Extra", "Job_ID"]}
+    for i, columns in headers.items():
+        part = rows.where(F.abs(F.hash("URL")) % 3 == i).withColumn("Extra", F.lit("x"))
+        run = f"run=board_DataEngineer_indonesia_2025071{8 + i // 2}_20102{i}"
+        writer = part.select(*columns).write.options(header=True, escape='"')
+        writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/{run}")
+    found = raw.read_raw(spark, folder)
+    return found.select("URL", "Job_ID", "Role", "Company", "Location", "Publish_Time")
 
 
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,7 +332,7 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staging_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "staging")
-    layers.write_staging(_staged(spark, sf_dir), path, many_dates=True)
+    layers.write_staging(_staged(spark, sf_dir), path)
     return layers.read_staging(spark, path, "board_north", "2025-07-18").drop("copies")
 
 
@@ -323,7 +340,9 @@ def _two_loads(spark: SparkSession, sf_dir: str, load_type: str) -> DataFrame:
     path = scratch_path(spark, "bronze")
     staged = _staged(spark, sf_dir)
     layers.load_bronze(staged.where("table_date = '2025-07-18'"), path, "full")
-    second = staged.where("table_date = '2025-07-19' AND source = 'board_north'")
+    second = staged.where("table_date = '2025-07-19'")
+    if load_type == "full":
+        second = second.where("source = 'board_north'")
     layers.load_bronze(second, path, load_type)
     return spark.read.parquet(path)
 
@@ -339,11 +358,25 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw CSV files through the stream, started twice: no file counts twice."""
-    folder = f"{_raw_zone(spark, sf_dir, 'csv')}/Source_Data_board_south"
-    table_path, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
-    for _ in range(2):
-        stream_bronze(raw_stream(spark, folder), table_path, checkpoint).awaitTermination()
-    return spark.read.parquet(table_path)
+    root, tables = _raw_zone(spark, sf_dir, "csv"), []
+    for source in ("board_north", "board_south"):
+        table_path, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+        for _ in range(2):
+            rows = raw_stream(spark, f"{root}/Source_Data_{source}")
+            stream_bronze(rows, table_path, checkpoint).awaitTermination()
+        tables.append(spark.read.parquet(table_path))
+    return raw.concat_raw(*tables)
+
+
+def last_processed_time_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark of each source before the first load, and after it."""
+    lake, sources = scratch_path(spark, "lake"), ("board_north", "board_south")
+    before = [last_processed_time(spark, lake, s, "incremental") for s in sources]
+    layers.load_bronze(_staged(spark, sf_dir), f"{lake}/bronze", "incremental")
+    after = [last_processed_time(spark, lake, s, "incremental") for s in sources]
+    return spark.createDataFrame(
+        list(zip(sources, before, after, strict=True)), "source string, first_run string, mark string"
+    )
 
 
 def _daily(spark: SparkSession, sf_dir: str):
@@ -371,7 +404,7 @@ def jobs_by_role_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.keyword_trend(clean_postings(postings(spark, sf_dir)), "month", 10, "raw_id")
+    return words.keyword_trend(clean_postings(postings(spark, sf_dir)), "month", 10, "raw_id", unique_keys=True)
 
 
 def newest_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,7 +439,7 @@ QUERIES = {
         newer_than, newer_than_pushed,
         page_links, page_details, page_cards, page_cards_matching, page_job_details,
         attach_details, collected_postings,
-        csv_round_trip, json_round_trip, files_of_one_day, union_by_name, staging_pruned,
+        csv_round_trip, csv_columns_by_name, last_processed_time_, json_round_trip, files_of_one_day, union_by_name, staging_pruned,
         load_full, load_incremental, stream_ingest, daily_run_silver, daily_run_gold,
         jobs_by_role_location, keyword_trend, newest_jobs, salary_distribution,
         postings_fact, company_dimension,

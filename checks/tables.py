@@ -2,18 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A file with one row group is one task, however many cores there are. Tables of
-# so few splits (at most a few GB) are dealt out to the cores; larger ones are
-# left as they are.
-SMALL_SPLITS = 32
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS):
-        return df.repartition(min(cores, SMALL_SPLITS), df.columns[0])
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
@@ -76,14 +67,16 @@ def postings_sql() -> str:
 # Second: no company, no location, no age. Third: no job id. Fourth: no title.
 SEARCH_PAGES = r"""
 SELECT o_orderkey AS page_id, 'https://example.com/search' AS url,
-  'Data Engineer' AS keyword, o_orderdate AS scraped_at,
+  CASE o_orderkey % 4 WHEN 0 THEN 'Data Engineer' WHEN 1 THEN 'ETL Developer'
+    WHEN 2 THEN 'Big Data Engineer' ELSE 'Chef' END AS keyword, o_orderdate AS scraped_at,
   concat('<html><body><nav><a href="/">Home</a></nav>',
    '<div data-search-sol-meta="1" class="c"><article data-job-id="', o_orderkey, '">',
-   '<div><a data-automation="jobTitle" href="/j">Data &amp; <b>Engineer</b>\n ', o_orderpriority, '</a></div>',
+   '<div><a title="a > b" data-automation=jobTitle href="/j">Data &amp; <b>Engineer</b>\n ', o_orderpriority, '</a></div>',
    '<a data-automation="jobCompany">PT &#65;', o_custkey, '</a><a class=x data-automation="jobLocation"> City<br>', o_orderstatus, '</a>',
    '<span data-automation="jobListingDate"><span>', o_orderkey % 50,
    CASE o_orderkey % 3 WHEN 0 THEN 'm' WHEN 1 THEN 'h' ELSE 'd' END, '</span> ago</span></article></div>',
-   '<div data-search-sol-meta="2"><article data-job-id="', o_orderkey, 'x"><a data-automation="jobTitle">ETL Developer ', o_orderstatus, '</a></article></div>',
+   '<div data-search-sol-meta="2"><article data-job-id=', o_orderkey, 'x><a data-automation="jobTitle">',
+   CASE WHEN o_orderkey % 5 = 0 THEN 'Office Manager ' ELSE 'ETL Developer ' END, o_orderstatus, '</a></article></div>',
    '<div data-search-sol-meta="3"><a data-automation="jobTitle">No id</a></div>',
    '<div data-search-sol-meta="4"><article data-job-id="9"><a href="/">No title</a></article></div><footer>end</footer></body></html>') AS html
 FROM {orders}

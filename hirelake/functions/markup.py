@@ -7,7 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hirelake.functions.text import clean_text
+from hirelake.functions.text import clean_text, extract_or_null
 
 _BLOCKS = (
     "address|article|aside|blockquote|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|"
@@ -15,12 +15,22 @@ _BLOCKS = (
 )
 
 
+# What stands in a tag: anything but its end, and quoted values, which may hold a
+# ">". Possessive, so long tags neither backtrack nor recurse.
+_INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+
+
+def _before(attr: str) -> str:
+    """What stands in a tag before the attribute."""
+    return rf"""(?:[^\s>"']++|"[^"]*+"|'[^']*+'|\s(?!{attr}[\s=>/]))*+"""
+
+
 def opening_tag(tag: str, attr: str | None = None, value: str | None = None) -> str:
     """Pattern of an opening tag, optionally with an attribute (and its value)."""
     if attr is None:
-        return rf"(?is)<{tag}\b[^>]*>"
-    tail = r"(?=[\s=>/])" if value is None else rf"""\s*=\s*["']?{value}["'\s>]"""
-    return rf"(?is)<{tag}\b(?=[^>]*\s{attr}{tail})[^>]*>"
+        return rf"(?is)<{tag}\b{_INSIDE}>"
+    tail = rf"""\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s>]))""" if value else r"(?=[\s=>/])"
+    return rf"(?is)<{tag}\b(?={_before(attr)}\s{attr}{tail}){_INSIDE}>"
 
 
 _NAMED = json.dumps({"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()})
@@ -86,8 +96,9 @@ def first_text(html: Column, tag: str, attr: str, value: str) -> Column:
 def first_attribute(html: Column, tag: str, attr: str) -> Column:
     """Value of the attribute on the first ``tag`` that has it, null if none or
     empty."""
-    pattern = rf"""(?is)<{tag}\b[^>]*\s{attr}\s*=\s*["']([^"']*)["']"""
-    return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+    pattern = rf"""(?is)<{tag}\b{_before(attr)}\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    quoted = extract_or_null(html, pattern)
+    return F.nullif(F.regexp_replace(quoted, r"""^["']|["']$""", ""), F.lit(""))
 
 
 def _character(code: Column) -> Column:
@@ -103,7 +114,7 @@ def decode_entities(text: Column) -> Column:
     names = F.from_json(F.lit(_NAMED), "map<string,string>")  # folded to a constant
 
     def character(body: Column) -> Column:
-        hexa = F.conv(F.regexp_extract(body, "^#[xX](.+)$", 1), 16, 10).try_cast("bigint")
+        hexa = F.conv(F.regexp_extract(body, "^#[xX]0*(.{1,8})$", 1), 16, 10).try_cast("bigint")
         number = F.regexp_extract(body, "^#([0-9]+)$", 1).try_cast("bigint")
         return F.when(
             body.startswith("#"), let(F.coalesce(hexa, number), _character)
@@ -111,7 +122,7 @@ def decode_entities(text: Column) -> Column:
 
     def decode(piece: Column) -> Column:
         body = F.regexp_extract(
-            piece, r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[a-zA-Z][a-zA-Z0-9]*);", 1
+            piece, r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);", 1
         )
         known = let(body, lambda b: F.concat(character(b), F.substr(piece, F.length(b) + 2)))
         return F.coalesce(known, F.concat(F.lit("&"), piece))

@@ -56,7 +56,10 @@ def publish_time(age: Column, scraped_at: Column) -> Column:
     minutes and "5 hari" (days) as hours. Without number or unit: ``scraped_at``.
     """
     amount = F.regexp_replace(age, "[^0-9]", "").try_cast("int")
-    now = scraped_at.cast("timestamp_ntz")
+    instant = F.typeof(scraped_at) == "timestamp"  # folded: a column has one type
+    now = F.when(instant, to_utc_naive(scraped_at.cast("timestamp"))).otherwise(
+        scraped_at.cast("timestamp_ntz")
+    )
     then = (
         F.when(age.contains("m"), minus_age(now, amount, "minutes"))
         .when(age.contains("h"), minus_age(now, amount, "hours"))

@@ -106,14 +106,30 @@ def attach_details(cards: DataFrame, details: DataFrame) -> DataFrame:
     """Each card with the detail fields of its URL, ``''`` where there is no
     detail page. If a URL was stored more than once its first page counts, so
     cards never multiply.
-
-    The unique details are written first: each page is parsed once, Catalyst
-    knows their size and broadcasts them only if small, and otherwise both sides
-    of the join are plain shuffles, which AQE can split where one URL is on many
-    cards.
     """
-    once = first_per_key(details, ["URL"], ["page_id", *DETAIL_FIELDS])
-    unique = materialise(once.select("URL", *DETAIL_FIELDS), "details")
+    return _joined(cards, first_per_key(details, ["URL"], ["page_id", *DETAIL_FIELDS]))
+
+
+def wanted_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
+    """The unparsed detail pages (``page_id``, ``url``, ``html``) of the cards'
+    URLs, of each URL the first one."""
+    urls = cards.select("URL").distinct()
+    asked = pages.join(urls, pages["url"] == urls["URL"], "left_semi")
+    return first_per_key(asked, ["url"], ["page_id", "html"]).select("page_id", "url", "html")
+
+
+def attach_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
+    """As :func:`attach_details`, from unparsed detail pages: only the wanted ones
+    are parsed. The cards, which are narrow, are written once for both uses."""
+    cards = materialise(cards, "cards")
+    return _joined(cards, extract_details(wanted_pages(cards, pages)))
+
+
+def _joined(cards: DataFrame, details: DataFrame) -> DataFrame:
+    """The details are written first: Catalyst then knows their size and
+    broadcasts them only if small, and otherwise both sides of the join are plain
+    shuffles, which AQE can split where one URL is on many cards."""
+    unique = materialise(details.select("URL", *DETAIL_FIELDS), "details")
     return cards.join(unique, "URL", "left").fillna("", DETAIL_FIELDS)
 
 

@@ -6,6 +6,12 @@ from pyspark.sql import functions as F
 from hirelake.operators.keys import dense_id
 
 
+FACTS = (
+    "job_id", "job_id_platform", "raw_id", "source", "posted_time",
+    "salary_min_cleaned", "salary_max_cleaned",
+)
+
+
 def jobs_by_role_location(silver: DataFrame) -> DataFrame:
     """Postings per role and location."""
     return silver.groupBy("role", "location").agg(F.count(F.lit(1)).alias("postings"))
@@ -35,15 +41,19 @@ def dimension(silver: DataFrame, column: str) -> DataFrame:
 
 
 def postings_star(
-    silver: DataFrame, columns: tuple[str, ...] = ("company", "location", "role")
+    silver: DataFrame,
+    columns: tuple[str, ...] = ("company", "location", "role"),
+    facts: tuple[str, ...] = FACTS,
 ) -> dict[str, DataFrame]:
-    """A dimension per column and the fact ``postings`` that refers to them.
+    """A dimension per column and the fact ``postings`` that refers to them, with
+    those of the columns ``facts`` that there are: ids, times and measures. Texts
+    are left in silver, so the joins move narrow rows.
 
     Dimensions are built from distinct values and joined by equality; AQE splits
     a value that many postings share. Null values keep a null key.
     """
     star = {c: dimension(silver, c) for c in columns}
-    fact = silver
+    fact = silver.select(*[c for c in silver.columns if c in facts or c in columns])
     for c in columns:
         fact = fact.join(star[c], c, "left").drop(c)
     return star | {"postings": fact}

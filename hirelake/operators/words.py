@@ -10,13 +10,13 @@ from hirelake.functions.text import distinct_words
 
 
 def job_words(
-    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), unique_keys: bool = True
+    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), unique_keys: bool = False
 ) -> DataFrame:
     """One row per job and distinct word: ``keep`` columns, ``key``, ``word``.
 
     The words of one text are made distinct in the row, before they are
-    exploded. Set ``unique_keys=False`` if several texts share a key; only then a
-    shuffle is needed to make (key, word) distinct.
+    exploded. ``unique_keys=True`` says that no two texts share a key; otherwise a
+    shuffle makes (key, word) distinct.
     """
     rows = (
         df.where(F.col(key).isNotNull())
@@ -49,14 +49,19 @@ def word_frequency(
     stop_words: Sequence[str] | DataFrame = vocab.STOP_WORDS,
     top: int = vocab.TOP_WORDS,
     by: Sequence[str] = (),
-    unique_keys: bool = True,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """The ``top`` words by number of jobs that use them, ties in word order.
 
-    With unique keys this is one shuffle of partial counts.
+    With unique keys this is one shuffle of partial counts. A list of stop words
+    is looked up before counting, a table joined after it, when there is one row
+    for each word.
     """
-    words = without_stop_words(job_words(df, key, text, by, unique_keys), stop_words)
-    counts = words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("frequency"))
+    words = job_words(df, key, text, by, unique_keys)
+    listed = not isinstance(stop_words, DataFrame)
+    counted = without_stop_words(words, stop_words) if listed else words
+    counts = counted.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("frequency"))
+    counts = counts if listed else without_stop_words(counts, stop_words)
     return top_rows(counts, top, [F.desc("frequency"), F.asc("word")], by)
 
 
@@ -66,7 +71,7 @@ def word_frequency_semi_join(
     text: str = "job_desc",
     stop_words: Sequence[str] | DataFrame = vocab.STOP_WORDS,
     top: int = vocab.TOP_WORDS,
-    unique_keys: bool = True,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """The same table with the kept words as a semi join.
 
@@ -87,11 +92,12 @@ def keyword_trend(
     top: int = 10,
     key: str = "job_id_platform",
     stop_words: Sequence[str] | DataFrame = vocab.STOP_WORDS,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """The ``top`` words of each period: ``period``, ``word``, ``frequency``,
     ``place``. Only the counts are ranked, never the postings."""
     dated = silver.withColumn("period", F.date_trunc(unit, "posted_time").cast("timestamp_ntz"))
-    words = without_stop_words(job_words(dated, key, "job_desc", ["period"]), stop_words)
+    words = without_stop_words(job_words(dated, key, "job_desc", ["period"], unique_keys), stop_words)
     counts = words.groupBy("period", "word").agg(F.count(F.lit(1)).alias("frequency"))
     order = Window.partitionBy("period").orderBy(F.desc("frequency"), F.asc("word"))
     ranked = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top)

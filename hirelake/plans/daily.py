@@ -3,14 +3,14 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake import vocab
 from hirelake.operators.dedup import copies_report
 from hirelake.operators.incremental import check_load_type, high_water_mark, newer_than
-from hirelake.operators.pages import attach_details, extract_cards, matching_roles, postings
-from hirelake.operators.pages import extract_details as details_of
+from hirelake.operators.pages import attach_pages, extract_cards, matching_roles, postings
 from hirelake.operators.quality import quality_report
 from hirelake.operators.words import word_frequency
 from hirelake.plans.silver import build_silver, require_fields
@@ -27,9 +27,7 @@ from hirelake.sources.layers import (
     write_staging,
 )
 from hirelake.sources.raw import (
-    concat_raw,
     read_raw,
-    require_nonempty,
     run_name,
     source_name,
     write_raw,
@@ -39,13 +37,16 @@ from hirelake.sources.raw import (
 @dataclass(frozen=True)
 class DailyRun:
     """What one run needs: raw folders (one per source), the lake's root, the
-    day, the raw format and the load type."""
+    day, the raw format, the load type and how raw files are read (see
+    ``reader_options``)."""
 
     folders: Sequence[str]
     lake: str
     table_date: str
     source_type: str = "csv"
     load_type: str = "incremental"
+    multi_line: bool = True
+    any_case: bool = False
 
     @property
     def sources(self) -> list[str]:
@@ -67,24 +68,19 @@ def ingest(spark: SparkSession, cfg: DailyRun) -> DataFrame:
     """Raw files of the day, all sources in one job, to staging; the staged rows
     come back."""
     path = f"{cfg.lake}/staging"
-    raw = [
-        require_nonempty(
-            read_raw(spark, folder, cfg.source_type, table_date=cfg.table_date),
-            cfg.table_date,
-            cfg.source_type,
-        )
-        for folder in cfg.folders
-    ]
-    write_staging(stage(concat_raw(*raw)), path)
-    for source, rows in zip(cfg.sources, raw):
-        if rows.isEmpty():
-            empty_staging(spark, path, source, cfg.table_date)
+    raw = read_raw(
+        spark, cfg.folders, cfg.source_type, None, cfg.table_date, cfg.multi_line, cfg.any_case
+    )
+    write_staging(stage(raw), path)
+    for source in sources_without_rows(raw, cfg.sources):
+        empty_staging(spark, path, source, cfg.table_date)
     return read_staging(spark, path, cfg.sources, cfg.table_date)
 
 
 def run_daily(spark: SparkSession, cfg: DailyRun) -> DailyResult:
     """Ingest, load, clean, check and count; every source is a partition of the
-    same tables, so more sources mean more data, not more jobs."""
+    same tables, so more sources mean more data, not more jobs. Only a source
+    without any row costs a small write of its own."""
     check_load_type(cfg.load_type)
     paths = {t: f"{cfg.lake}/{t}" for t in ("bronze", "silver", "gold/word_frequency")}
 
@@ -97,7 +93,7 @@ def run_daily(spark: SparkSession, cfg: DailyRun) -> DailyResult:
     silver = read_sources(spark, paths["silver"], SILVER, cfg.sources)
 
     # A few hundred rows per source.
-    gold = materialise(word_frequency(silver, by=["source"]), "gold")
+    gold = materialise(word_frequency(silver, by=["source"], unique_keys=True), "gold")
     replace_sources(gold, paths["gold/word_frequency"], sources_without_rows(gold, cfg.sources))
     return DailyResult(
         bronze=bronze,
@@ -110,10 +106,15 @@ def run_daily(spark: SparkSession, cfg: DailyRun) -> DailyResult:
 
 def last_processed_time(spark: SparkSession, lake: str, source: str, load_type: str) -> str:
     """The source's high-water mark in bronze; ``""`` for a full load and when
-    there is no time yet. One value is brought back."""
+    there is no bronze or no time yet. One value is brought back."""
     if check_load_type(load_type) == "full":
         return ""
-    bronze = read_sources(spark, f"{lake}/bronze", BRONZE, [source])
+    try:
+        bronze = read_sources(spark, f"{lake}/bronze", BRONZE, [source])
+    except AnalysisException as e:  # the first run
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return ""
     return high_water_mark(bronze).first()["max_time"] or ""
 
 
@@ -139,6 +140,6 @@ def collect_pages(
     asked = search_pages.where(F.col(term).isin(list(terms)))
     cards = extract_cards(asked, url_prefix, country, keep=[term])
     wanted = newer_than(matching_roles(cards, keywords), mark)
-    rows: DataFrame = attach_details(wanted, details_of(detail_pages))
+    rows: DataFrame = attach_pages(wanted, detail_pages)
     name: Column = run_name(site, F.col(term), F.lit(country), stamp)
     write_raw(postings(rows.withColumn("run", name), ["run"]), folder)

@@ -40,11 +40,3 @@ SILVER = T.StructType(
 GOLD = T.StructType(
     [T.StructField("word", T.StringType()), T.StructField("frequency", T.LongType())]
 )
-
-PAGES = T.StructType(
-    [
-        T.StructField("page_id", T.LongType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("html", T.StringType()),
-    ]
-)

@@ -1,5 +1,7 @@
 """Session settings that the jobs rely on."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -15,12 +17,14 @@ SETTINGS = {
 
 
 def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+    """A single-machine session for tests and the benchmark, with a checkpoint
+    folder of its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("hirelake")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='hirelake-')}")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)

@@ -22,8 +22,10 @@ def stage(raw: DataFrame, copies: str = "copies") -> DataFrame:
 
 
 def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
-    """Overwrite just the partitions that ``df`` has rows for."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Overwrite just the partitions that ``df`` has rows for. Rows are gathered
+    by partition first, so tasks do not each write a small file into every one; a
+    partition that holds most rows is split."""
+    writer = df.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*columns).parquet(path)
 
 
@@ -37,19 +39,15 @@ def _empty_partition(
 
 
 def sources_without_rows(df: DataFrame, sources: Sequence[str]) -> list[str]:
-    """The sources that ``df`` has no row of; each is searched up to its first row."""
-    return [s for s in sources if df.where(F.col("source") == s).isEmpty()]
+    """The sources that ``df`` has no row of, found in one aggregation; a row for
+    each source reaches the driver."""
+    asked = df.where(F.col("source").isin(list(sources)))
+    present = {r["source"] for r in asked.select("source").distinct().collect()}
+    return [s for s in sources if s not in present]
 
 
-def write_staging(df: DataFrame, path: str, many_dates: bool = False) -> None:
-    """Replace the staged days present in ``df``, a partition per source and day.
-
-    For a backfill set ``many_dates``: rows are then gathered by day first, so
-    the tasks do not each write a small file into every day; a day or source
-    that holds most rows is split.
-    """
-    if many_dates:
-        df = df.hint("rebalance", "source", "table_date")
+def write_staging(df: DataFrame, path: str) -> None:
+    """Replace the staged days present in ``df``, a partition per source and day."""
     _replace_partitions(df, path, "source", "table_date")
 
 
@@ -84,7 +82,7 @@ def load_bronze(
     """
     rows = staged.select(*BRONZE.fieldNames())
     if check_load_type(load_type) == "incremental":
-        rows.write.mode("append").partitionBy("source").parquet(path)
+        rows.hint("rebalance", "source").write.mode("append").partitionBy("source").parquet(path)
     else:
         replace_sources(rows, path, sources_without_rows(rows, sources))
 

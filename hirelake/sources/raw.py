@@ -1,11 +1,12 @@
 """Raw files: CSV and JSON lines, one set per search term, country and run."""
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelake.scratch import materialise
 from hirelake.schema import RAW
@@ -28,6 +29,11 @@ _OPTIONS = {
     "json": {"ignoreNullFields": False},
 }
 _ANY_CASE = {"csv": "*.[cC][sS][vV]", "json": "*.[jJ][sS][oO][nN]"}
+# CSV columns are read by place and named by each file's header, which may hold
+# more columns than the ten.
+_PLACES = 40
+# The folder of a raw file, its run's folder left out.
+_FOLDER_IN_PATH = r"([^/]+)/+(?:run=[^/]*/+)?[^/]*$"
 
 
 def source_type(name: str) -> str:
@@ -48,15 +54,24 @@ def reader_options(fmt: str, multi_line: bool = True, any_case: bool = False) ->
     anyway. File extensions are matched in lower case unless ``any_case``.
     """
     kind = source_type(fmt)
-    options = {
-        "recursiveFileLookup": True,
-        "pathGlobFilter": _ANY_CASE[kind] if any_case else f"*.{kind}",
-    }
+    options = {"pathGlobFilter": _ANY_CASE[kind] if any_case else f"*.{kind}"}
     if kind == "csv":
         options |= _OPTIONS["csv"] | {"multiLine": multi_line}
     return options
 
 
+def raw_paths(folder: str, fmt: str, table_date: str | None = None, any_case: bool = False) -> str:
+    """Glob of the raw files in a folder and of its ``run=`` folders (no other
+    folders are looked into); with a day only those whose name has that day, so
+    history is not listed."""
+    kind = source_type(fmt)
+    files = _ANY_CASE[kind] if any_case else f"*.{kind}"
+    if table_date is None:
+        return f"{folder.rstrip('/')}/{{{files},run=*}}"
+    stamp = f"*_{table_date.replace('-', '')}_[0-9]"
+    return f"{folder.rstrip('/')}/{{{stamp}{files},run={stamp}*/{files}}}"
+
+
 def _stamp() -> Column:
     return F.regexp_extract("_metadata.file_path", _STAMP_IN_PATH, 1)
 
@@ -66,33 +81,90 @@ def run_date() -> Column:
     return F.regexp_replace(_stamp(), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
 
 
+def _source_in_path() -> Column:
+    folder = F.regexp_extract("_metadata.file_path", _FOLDER_IN_PATH, 1)
+    return F.lower(F.replace(folder, F.lit(FOLDER_PREFIX), F.lit("")))
+
+
+def _headers(spark: SparkSession, paths: list[str], options: dict) -> DataFrame:
+    """(``_file``, ``_names``) of every CSV file: the line of its first block that
+    has a field ``Job_ID`` and the most of the ten names. One row per file,
+    written, so that Catalyst knows its size."""
+    keep = {k: v for k, v in options.items() if k == "pathGlobFilter"}
+    lines = spark.read.options(**keep).text(paths)
+    plain = F.regexp_replace("value", "[\"\uFEFF]", "")
+    names = F.transform(F.split(plain, ","), lambda n: F.trim(n))
+    found = lines.where(F.array_contains(names, "Job_ID")).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("at"),
+            (-F.size(F.array_intersect(names, F.lit(RAW.fieldNames())))).alias("known"),
+            names.alias("names"),
+        ).alias("_h"),
+    )
+    first = found.groupBy("_file").agg(F.min("_h").alias("_h"))
+    return materialise(first.select("_file", F.col("_h.names").alias("_names")), "headers")
+
+
+def _named(files: DataFrame, headers: DataFrame) -> DataFrame:
+    """The ten raw columns of CSV rows read by place."""
+    places = F.array(*[f"_{i}" for i in range(_PLACES)])
+    missing = F.raise_error(F.concat(F.lit("no header with a field Job_ID in "), F.col("_path")))
+    names = F.when(F.col("_names").isNull(), missing.cast("array<string>")).otherwise(F.col("_names"))
+
+    def column(name: str) -> Column:
+        at = F.array_position("_names", name)
+        return F.when(at > 0, F.get("_places", (at - 1).cast("int"))).alias(name)
+
+    joined = files.withColumn("_places", places).join(headers, F.col("_path") == F.col("_file"), "left")
+    return joined.withColumn("_names", names).select(
+        *[column(c) for c in RAW.fieldNames()], "source", "table_date"
+    )
+
+
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     fmt: str = "csv",
     source: str | None = None,
     table_date: str | None = None,
     multi_line: bool = True,
     any_case: bool = False,
 ) -> DataFrame:
-    """Raw files below ``path`` with the ten raw columns, ``source`` and
-    ``table_date``; only the files of one day when ``table_date`` is given.
-
-    Columns that older files lack are null; nothing is inferred, so ids keep
-    their leading zeros. The day is a filter on the file path alone, which Spark
-    applies to the file listing: files of other days are never opened.
+    """Raw files in one folder or several, with the ten raw columns, ``source``
+    (from the folder's name) and ``table_date``; only the files of one day when
+    ``table_date`` is given, an error when a folder has none.
+
+    Columns are matched by name: in CSV by each file's own header, whatever its
+    order. Columns that a file lacks are null, unknown ones are left out, a file
+    without a header is an error. Nothing is inferred, so ids keep their leading
+    zeros. All folders are one scan.
     """
     kind = source_type(fmt)
-    reader = spark.read.schema(RAW).options(**reader_options(fmt, multi_line, any_case))
-    files = reader.format(kind).load(path)
+    options = reader_options(fmt, multi_line, any_case)
+    folders = [path] if isinstance(path, str) else list(path)
+    paths = [raw_paths(f, fmt, table_date, any_case) for f in folders]
+    schema = RAW
+    if kind == "csv":
+        schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(_PLACES)])
+    try:
+        files = spark.read.schema(schema).options(**options).format(kind).load(paths)
+    except AnalysisException as e:
+        if table_date is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ValueError(f"No {kind} files found for date {table_date}") from None
     if table_date is not None:
         files = files.where(_stamp() == table_date.replace("-", ""))
     day = run_date() if table_date is None else F.lit(table_date).cast("date")
-    return files.select(
-        *RAW.fieldNames(),
-        F.lit(source or source_name(path)).alias("source"),
+    files = files.select(
+        *schema.fieldNames(),
+        F.col("_metadata.file_path").alias("_path"),
+        (F.lit(source) if source else _source_in_path()).alias("source"),
         day.alias("table_date"),
     )
+    if kind == "csv":
+        return _named(files, _headers(spark, paths, options))
+    return files.drop("_path")
 
 
 def files_for_date(df: DataFrame, table_date: str) -> DataFrame:
@@ -101,16 +173,6 @@ def files_for_date(df: DataFrame, table_date: str) -> DataFrame:
     return df.where(F.col("table_date") == F.lit(table_date).cast("date"))
 
 
-def require_nonempty(df: DataFrame, table_date: str, fmt: str = "csv") -> DataFrame:
-    """``df`` itself, or an error when no file below its path is of that day. Only
-    the file listing is looked at; a file with nothing but a header counts."""
-    wanted = table_date.replace("-", "")
-    stamps = (re.search(_STAMP_IN_PATH, f) for f in df.inputFiles())
-    if not any(m and m.group(1) == wanted for m in stamps):
-        raise ValueError(f"No {source_type(fmt)} files found for date {table_date}")
-    return df
-
-
 def concat_raw(*frames: DataFrame) -> DataFrame:
     """All rows, matched by column name; a column that a frame lacks is null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

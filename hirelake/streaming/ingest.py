@@ -18,8 +18,11 @@ def raw_stream(
     files_per_batch: int = 1000,
     **options: bool,
 ) -> DataFrame:
-    """Raw files as they arrive, in the bronze columns."""
+    """Raw files as they arrive, in the bronze columns. CSV columns come in the
+    fixed order (a prefix of it in older files): a header is only known once its
+    file has come."""
     reader = spark.readStream.schema(RAW).options(**reader_options(fmt, **options))
+    reader = reader.option("recursiveFileLookup", True)
     rows = reader.option("maxFilesPerTrigger", files_per_batch).format(source_type(fmt)).load(path)
     return rows.select(
         *RAW.fieldNames(),

@@ -115,3 +115,25 @@ def test_pages_to_gold_above_the_mark(spark, tmp_path):
     assert [tuple(r)[:2] for r in result.gold.orderBy(F.desc("frequency"), "word").collect()] == [
         ("sql", 3), ("word1", 1), ("word2", 1), ("word3", 1),
     ]
+
+
+def test_jobs_do_not_grow_with_the_sources(spark, tmp_path):
+    """Jobs of a run over one source and over six."""
+    made = {}
+    for n in (1, 6):
+        root = tmp_path / str(n)
+        folders = [f"{root}/Source_Data_s{i}" for i in range(n)]
+        for f in folders:
+            rows = [("1", "data engineer", None, "City", "2025-07-18 01:00:00", "u/1", "x", "SQL", "", "")]
+            write_raw(spark.createDataFrame(rows, RAW).withColumn("run", F.lit("b_T_x_20250718_100000")), f, ("csv",))
+        tracker, group = spark.sparkContext.statusTracker(), f"sources-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        result = run_daily(spark, DailyRun(folders, f"{root}/lake", "2025-07-18", "csv", "full"))
+        made[n] = len(tracker.getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert result.silver.count() == n
+    assert made[1] == made[6]
+
+
+def test_first_incremental_run(spark, tmp_path):
+    assert last_processed_time(spark, str(tmp_path / "none"), "north", "incremental") == ""

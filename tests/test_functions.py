@@ -137,3 +137,24 @@ def test_strict_time(spark):
     assert got == [datetime(2025, 7, 18, 1, 2, 3), datetime(1900, 1, 1)]
     with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP"):
         apply(spark, ["bad"], parse_time)
+
+
+def test_age_of_an_instant_is_utc_in_any_session_zone(spark):
+    from hirelake.functions.times import publish_time, render_time
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Jakarta"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            at = F.timestamp_seconds(F.lit(1752840000))  # 2025-07-18 12:00:00 UTC
+            got = spark.range(1).select(render_time(publish_time(F.lit("3h ago"), at))).first()[0]
+            assert got == "2025-07-18 09:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_long_character_references(spark):
+    from hirelake.functions.markup import decode_entities
+
+    df = spark.createDataFrame([("&#000000065;&#x0000000042;&#99999999999999999999;&#x0;",)], "t string")
+    assert df.select(decode_entities(F.col("t"))).first()[0] == "AB\ufffd\ufffd"

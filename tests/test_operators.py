@@ -75,7 +75,7 @@ def test_words_count_once_per_job(spark):
 
 def test_words_of_repeated_keys(spark):
     df = spark.createDataFrame([(1, "sql"), (1, "SQL etl"), (2, "sql")], "job_id int, job_desc string")
-    got = word_frequency(df, unique_keys=False).collect()
+    got = word_frequency(df).collect()
     assert [tuple(r) for r in got] == [("sql", 2), ("etl", 1)]
 
 

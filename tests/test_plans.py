@@ -6,10 +6,11 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from checks.tables import postings
 from hirelake.operators.dedup import dedup_ignoring, first_per_key
 from hirelake.operators.incremental import newer_than
-from hirelake.operators.pages import attach_details
+from hirelake.operators.pages import attach_details, attach_pages, extract_details, wanted_pages
 from hirelake.operators.reports import postings_star
 from hirelake.operators.words import keyword_trend, word_frequency, word_frequency_semi_join
 from hirelake.plans.silver import build_silver, clean_postings
@@ -29,7 +30,7 @@ def documents(spark, sf_dir):
 
 
 def test_word_frequency_is_one_shuffle(spark, sf_dir):
-    text = plan(word_frequency(documents(spark, sf_dir), "doc_id", "text"))
+    text = plan(word_frequency(documents(spark, sf_dir), "doc_id", "text", unique_keys=True))
     assert text.count("Exchange") == 1 and "partial_count" in text
     assert "TakeOrderedAndProject" in text and "INSET" in text
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
@@ -37,7 +38,7 @@ def test_word_frequency_is_one_shuffle(spark, sf_dir):
 
 
 def test_semi_join_counts_once(spark, sf_dir):
-    top = word_frequency_semi_join(documents(spark, sf_dir), "doc_id", "text")
+    top = word_frequency_semi_join(documents(spark, sf_dir), "doc_id", "text", unique_keys=True)
     assert len(top.collect()) == 300
     final = plan(top).split("Initial Plan")[0]
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
@@ -60,11 +61,30 @@ def test_first_per_key_limits_before_the_shuffle(spark, sf_dir):
 
 
 def test_dedup_combines_before_the_shuffle(spark, sf_dir):
-    rows = postings(spark, sf_dir).withColumn("Publish_Time", F.col("Publish_Time").cast("timestamp"))
-    text = plan(dedup_ignoring(rows, "Publish_Time"))
+    text = plan(QUERIES["dedup_ignoring_time"](spark, sf_dir))
     assert "partial_min" in text and "HashAggregate" in text and "SortAggregate" not in text
 
 
+def test_repeated_keys_are_made_distinct_by_key_and_word(spark, sf_dir):
+    text = plan(QUERIES["word_frequency_repeated_keys"](spark, sf_dir))
+    assert text.count("Exchange") == 2 and "Exchange hashpartitioning(conv_id" in text
+
+
+def test_a_stop_table_meets_counts(spark, sf_dir, large_joins):
+    text = plan(QUERIES["word_frequency_stop_table"](spark, sf_dir))
+    join = text.index("LeftAnti")
+    assert "partial_count" not in text[:join] and "partial_count" in text[join:]
+
+
+def test_only_wanted_pages_are_parsed(spark):
+    cards = spark.createDataFrame([("u/1",)], "URL string")
+    pages = spark.createDataFrame([(1, "u/1", "<p>"), (2, "u/2", "<p>")], "page_id long, url string, html string")
+    text = plan(extract_details(wanted_pages(cards, pages)))
+    semi = text.index("LeftSemi")
+    assert "jobAdDetails" in text[:semi] and "jobAdDetails" not in text[semi:]
+    assert [r.URL for r in attach_pages(cards, pages).collect()] == ["u/1"]
+
+
 def test_silver_shuffles_wide_rows_once(spark, sf_dir):
     bronze = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         *[F.col("props").alias(c) for c in
@@ -111,7 +131,7 @@ def test_a_company_on_a_third_of_the_postings_is_split(spark, large_joins):
     silver = spark.range(300000).select(
         F.when(n % 3 == 0, F.lit("c0")).otherwise(F.concat(F.lit("c"), n % 5000)).alias("company"), n
     )
-    fact = postings_star(silver, ("company",))["postings"]
+    fact = postings_star(silver, ("company",), ("id",))["postings"]
     assert len(fact.collect()) == 300000
     assert "SortMergeJoin(skew=true)" in plan(fact)
 

@@ -65,27 +65,46 @@ def test_one_day(spark, folder):
 
 
 def test_stamp_of_the_file_goes_before_its_folder(spark, tmp_path):
-    """The first stamp in the name counts; the folder's only if there is none."""
-    d = tmp_path / "run_20250101_000000"
-    d.mkdir()
-    for name in ("a_20250102_000000_20250103_000000", "part-0", "b_20259999_000000"):
-        (d / f"{name}.csv").write_text(OLD + f"{name},r,,,,\n")
+    """The first stamp in the name counts; its run folder's only if there is none.
+    Other folders are not looked into."""
+    d = tmp_path / "run=b_20250101_000000"
+    for folder in (d, tmp_path / "archive"):
+        folder.mkdir()
+        (folder / "part-0.csv").write_text(OLD + "part-0,r,,,,\n")
+    for name in ("a_20250102_000000_20250103_000000", "b_20259999_000000"):
+        (tmp_path / f"{name}.csv").write_text(OLD + f"{name},r,,,,\n")
     days = {r.Job_ID: str(r.table_date) for r in raw.read_raw(spark, str(tmp_path)).collect()}
     assert days == {
         "a_20250102_000000_20250103_000000": "2025-01-02", "part-0": "2025-01-01", "b_20259999_000000": "None",
     }
     for day, n in (("2025-01-01", 1), ("2025-01-02", 1), ("2025-01-03", 0)):
         assert raw.read_raw(spark, str(tmp_path), table_date=day).count() == n
-    with pytest.raises(ValueError):
-        raw.require_nonempty(raw.read_raw(spark, str(tmp_path)), "2025-01-03")
+
+
+def test_a_day_knows_only_its_files(spark, folder):
+    names = [f.split("/")[-1] for f in raw.read_raw(spark, folder, table_date="2025-07-18").inputFiles()]
+    assert {n for n in names if n.startswith("board")} == {
+        "board_A_x_20250718_201025.csv", "board_B_x_20250718_201026.csv",
+    }
+
+
+def test_columns_go_by_the_files_header(spark, tmp_path):
+    (tmp_path / "a_20250718_201025.csv").write_text("URL,Job_ID,Other,Role\nu/1,1,x,r\n")
+    (tmp_path / "b_20250718_201025.csv").write_text('"Job_ID",Role\n2,"Job_ID, of all"\n')
+    rows = by_id(raw.read_raw(spark, str(tmp_path)))
+    assert rows["1", "r"].URL == "u/1" and rows["1", "r"].Company is None
+    assert rows["2", "Job_ID, of all"].URL is None
+    (tmp_path / "c_20250719_201025.csv").write_text("id,title\n3,r\n")
+    with pytest.raises(Exception, match="no header with a field Job_ID"):
+        raw.read_raw(spark, str(tmp_path)).collect()
 
 
 def test_no_files_for_the_day(spark, folder):
-    files = raw.read_raw(spark, folder)
-    assert raw.require_nonempty(files, "2025-07-18") is files
-    assert raw.files_for_date(raw.require_nonempty(files, "2025-07-20"), "2025-07-20").count() == 0
+    assert raw.read_raw(spark, folder, table_date="2025-07-20").count() == 0  # a header only
     with pytest.raises(ValueError, match="No csv files found for date 2025-07-17"):
-        raw.require_nonempty(files, "2025-07-17")
+        raw.read_raw(spark, folder, table_date="2025-07-17")
+    with pytest.raises(ValueError, match="No json files found for date 2025-07-19"):
+        raw.read_raw(spark, folder, "json", table_date="2025-07-19")
 
 
 def test_source_names():
