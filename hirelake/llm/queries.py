@@ -98,3 +98,52 @@ def op9_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), 100)
+
+
+# Smallest node reachable over the links (a, b), both directions.
+_REACHED = """reached AS (
+  SELECT {id} AS a, {id} AS b FROM {nodes}
+  UNION SELECT r.a, l.b FROM reached r
+    JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON l.a = r.b),
+component AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)"""
+
+ORACLES["op2_embedding_join"] = f"""WITH RECURSIVE
+fine AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM fine x JOIN fine y
+  ON x.vec_id < y.vec_id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.9),
+{_REACHED.format(id="vec_id", nodes="embeddings")}
+SELECT vec_id, (SELECT count(*) FROM links WHERE vec_id IN (links.a, links.b)) AS n_links,
+  component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON a = vec_id"""
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLES["op5_jaccard_join"] = rf"""WITH RECURSIVE
+worded AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM worded WHERE len(w) > 0)),
+sized AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+{_REACHED.format(id="doc_id", nodes="documents")}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents LEFT JOIN sized USING (doc_id) JOIN component ON a = doc_id"""
+
+ORACLES["op6_chat_format"] = r"""WITH
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+guarded AS (SELECT *, '\[\\*/?(INST|ROLE)\]|\[\\*TEXT\]|<\\*/s>' AS control FROM turns),
+sized AS (SELECT *, length(text) + len(regexp_extract_all(text, control)) + CASE role
+    WHEN 'user' THEN length('[INST]  [/INST]') WHEN 'assistant' THEN length('</s>')
+    ELSE length(role) + len(regexp_extract_all(role, control)) + length('[ROLE][TEXT][/ROLE]') END AS size
+  FROM guarded)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
