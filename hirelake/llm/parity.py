@@ -17,9 +17,9 @@ both go on to the next one.
 Passages that many texts share would fill whole pieces. So shingles in the most
 crowded of 2**20 counters are left out, if enough others remain: without them two
 sets differ by no more than before, so their numbers of remaining shingles differ
-by ``D`` at most. A text with at least ``3 D`` of them offers pieces of these, one
-with less than ``4 D`` offers pieces of all: two linked texts meet in one or the
-other.
+by ``D`` at most. Texts with ``3 D`` or more of them offer pieces of these, texts
+with ``1.5 D`` to ``4 D`` smaller pieces of these, texts with less than ``2.5 D``
+pieces of all. The ranges overlap by ``D``, so two linked texts meet in one.
 
 Linear in the text: a set of n shingles offers about 0.3 n pieces at 0.85.
 """
@@ -38,7 +38,7 @@ from hirelake.scratch import materialise
 
 _BITS = 4096  # sketch bits in a piece
 _SEEDS = 6
-_RATIO = 1.5  # from one band of sizes to the next
+_RATIO = 1.3  # from one band of sizes to the next
 
 
 @dataclass(frozen=True)
@@ -58,8 +58,11 @@ def largest_partner(n: int, percent: int) -> int:
 
 def _spare(pieces: int, tokens: int) -> int:
     """Empty pieces that few sketches of so many tokens exceed."""
-    empty = pieces * np.exp(-tokens / pieces)
-    return int(empty + 3 * np.sqrt(empty))
+    spare = 0
+    for _ in range(20):  # the spare pieces make all of them smaller
+        empty = (pieces + spare) * np.exp(-tokens / (pieces + spare))
+        spare = int(empty + 3 * np.sqrt(empty))
+    return spare
 
 
 def size_bands(most: int, percent: int) -> list[SizeBand]:
@@ -124,9 +127,13 @@ def offers(sets: np.ndarray, begin: np.ndarray, percent: int, crowded: np.ndarra
     for band in size_bands(int(sizes.max(initial=0)), percent):
         member = (sizes >= band.low) & (sizes * percent <= band.high * 100)
         d = band.differ
+        many, some, few = n_rest >= 3 * d, (2 * n_rest >= 3 * d) & (n_rest < 4 * d), 2 * n_rest < 5 * d
+        if not d:
+            many, some, few = few, few, ~few
         for found in (
-            _offer(rest, kept, member & (n_rest >= 3 * d), d, 3 * d, 2 * band.number) if d else ([], []),
-            _offer(sets, begin, member & ((n_rest < 4 * d) | (d == 0)), d, band.low, 2 * band.number + 1),
+            _offer(rest, kept, member & many, d, 3 * d, 3 * band.number),
+            _offer(rest, kept, member & some, d, 3 * d // 2, 3 * band.number + 1),
+            _offer(sets, begin, member & few, d, band.low, 3 * band.number + 2),
         ):
             keys += found[0]
             rows += found[1]
@@ -321,24 +328,124 @@ def _possible(n_a: str, n_b: str, percent: int) -> Column:
     return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
 
 
-def _across(groups: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a group that lie in different components."""
+_SMALL, _TILE = 16, 2048
+
+
+def _across(
+    groups: DataFrame, parts: DataFrame, sketches: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of a group that lie in different components and are near by sketch.
+
+    Groups of up to 16 texts are joined with themselves, at most 15 pairs a text.
+    Larger ones are compared inside a task, as blocks of sketches, and only near
+    pairs leave it; a group of more than 2048 texts is cut into parts, which meet
+    each other in turn.
+    """
     placed = groups.join(parts, "node", "left").select(
         "key", "node", "n", F.coalesce("component", "node").alias("component")
     )
     mixed = (
-        placed.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
-        .where(F.col("_a") != F.col("_b")).select("key")
-    )
+        placed.groupBy("key")
+        .agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.count(F.lit(1)).alias("size"))
+        .where(F.col("_a") != F.col("_b"))
+        .select("key", "size")
+    )
     placed = materialise(placed.join(mixed, "key"), "mixed")
-    other = placed.select("key", F.col("node").alias("v"), F.col("n").alias("_n"), F.col("component").alias("_c"))
-    return (
-        placed.withColumnRenamed("node", "u")
+    small = placed.where(F.col("size") <= _SMALL)
+    other = small.select("key", F.col("node").alias("v"), F.col("n").alias("_n"), F.col("component").alias("_c"))
+    few = (
+        small.withColumnRenamed("node", "u")
         .join(other, "key")
         .where((F.col("u") < F.col("v")) & (F.col("component") != F.col("_c")) & _possible("n", "_n", percent))
         .select("u", "v")
         .distinct()
     )
+    cut = F.ceil(F.col("size") / _TILE).cast("int")
+    home = F.pmod(F.xxhash64("node"), cut).cast("int")
+    large = (
+        placed.where(F.col("size") > _SMALL)
+        .withColumn("home", home)
+        .withColumn("part", F.explode(F.sequence(F.col("home"), cut - 1)))
+        .join(sketches.select("node", "sketch"), "node")
+        .select("key", "part", (F.col("part") != F.col("home")).alias("visits"), "node", "n", "component", "sketch")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b, same in _meetings(batches):
+            u, v = _near_in_blocks(a, b, same, percent)
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+    many = (
+        large.repartition("key", "part")
+        .sortWithinPartitions("key", "part", "visits")
+        .mapInArrow(compare, "u long, v long")
+    )
+    return _near(few, sketches, percent).union(many).distinct()
+
+
+Members = tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]  # node, n, component, sketch
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Members, Members, bool]]:
+    """From rows sorted by group, part and visit: the texts at home in a part with
+    themselves, then with those that visit them, some at a time."""
+
+    def joined(held: list[Members]) -> Members:
+        return (*(np.concatenate([h[i] for h in held]) for i in range(3)), [s for h in held for s in h[3]])
+
+    place, held, home = None, [], None
+    for batch in batches:
+        key, part = batch.column("key").to_numpy(), batch.column("part").to_numpy()
+        visits = batch.column("visits").to_numpy(zero_copy_only=False)
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (visits[1:] != visits[:-1])
+        cuts = np.append(np.flatnonzero(new), len(key))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            rows = batch.slice(a, b - a)
+            members = (
+                *(rows.column(c).to_numpy() for c in ("node", "n", "component")),
+                [np.array(s, np.int64) for s in rows.column("sketch").to_pylist()],
+            )
+            if (key[a], part[a]) != place:
+                if held:
+                    home = joined(held)
+                    yield home, home, True
+                place, held, home = (key[a], part[a]), [], None
+            if not visits[a]:
+                held.append(members)
+                continue
+            if held:
+                home, held = joined(held), []
+                yield home, home, True
+            if home:
+                yield home, members, False
+    if held:
+        home = joined(held)
+        yield home, home, True
+
+
+def _near_in_blocks(a: Members, b: Members, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components whose sketches, at their smallest common
+    width, differ in no more bits than linked sets may."""
+    width = min(len(s) for m in (a, b) for s in m[3])
+    x, y = (
+        np.stack([np.bitwise_xor.reduce(s.reshape(-1, width), axis=0) for s in m[3]]).view(np.uint64) for m in (a, b)
+    )
+    us, vs = [], []
+    rows = max(1, (1 << 21) // (len(y) * width))
+    for i in range(0, len(x), rows):
+        differ = np.bitwise_count(x[i : i + rows, None] ^ y[None]).sum(2, dtype=np.int64)
+        na, nb = a[1][i : i + rows, None], b[1][None]
+        near = differ * (100 + percent) <= (na + nb) * (100 - percent)
+        near &= np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent
+        near &= a[2][i : i + rows, None] != b[2][None]
+        if same:
+            near &= a[0][i : i + rows, None] < b[0][None]
+        p, q = np.nonzero(near)
+        us.append(a[0][i + p])
+        vs.append(b[0][q])
+    return np.concatenate(us), np.concatenate(vs)
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -395,7 +502,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         .distinct()
     )
     likely = materialise(_near(stars, sketches, percent), "likely")
-    across = _near(_across(groups, materialise(components(likely), "parts"), percent), sketches, percent)
+    across = _across(groups, materialise(components(likely), "parts"), sketches, percent)
     pairs = materialise(likely.union(across).distinct(), "pairs")
 
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
@@ -404,7 +511,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     links = materialise(_verified(pairs, sets, percent).where("linked").select("u", "v").distinct(), "linked")
     parts = materialise(components(links), "parts")
 
-    left = materialise(_near(_across(groups, parts, percent).join(pairs, ["u", "v"], "left_anti"), sketches, percent), "left")
+    left = _across(groups, parts, sketches, percent).join(pairs, ["u", "v"], "left_anti")
+    left = materialise(left, "left")
     if not left.isEmpty():
         more = _verified(left, sets, percent).where("linked").select("u", "v")
         parts = materialise(components(links.union(more)), "parts")

@@ -209,3 +209,11 @@ def test_given_vectors(given):
     parts = smallest_reachable([r[0] for r in rows], links)
     assert {i: c for i, (_, c) in got.items()} == parts
     assert sum(n for n, _ in got.values()) == 2 * len(links)
+
+
+def test_groups_cut_into_parts(documents, monkeypatch):
+    """Groups of more than two texts in blocks, in parts of three at home."""
+    monkeypatch.setattr("hirelake.llm.parity._SMALL", 2)
+    monkeypatch.setattr("hirelake.llm.parity._TILE", 3)
+    texts = edits(7)
+    assert joined(documents(texts), 3, 80) == expected(list(enumerate(texts)), 3, 80)
