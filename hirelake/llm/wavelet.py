@@ -28,6 +28,10 @@ from hirelake.llm.tokens import encoder, texts_of
 _BLOCK = 512
 
 
+def _width(bits: int) -> type:
+    return np.uint16 if bits <= 16 else np.uint32
+
+
 class Plane:
     """A bit vector with rank and select."""
 
@@ -80,9 +84,9 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> "WaveletMatrix":
-        planes = []
+        planes, ids = [], ids.astype(_width(bits), copy=False)
         for shift in range(bits - 1, -1, -1):
-            one = (ids >> ids.dtype.type(shift)) & ids.dtype.type(1) == 1
+            one = (ids & ids.dtype.type(1 << shift)).astype(bool)
             planes.append(Plane.of(one))
             ids = np.concatenate((ids[~one], ids[one]))
         return cls(len(ids), planes)
@@ -123,13 +127,14 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All tokens, by undoing the partings from the last plane up."""
-        ids = np.zeros(self.n, np.uint32)
+        kind = _width(len(self.planes))
+        ids = np.zeros(self.n, kind)
         for i, p in enumerate(reversed(self.planes)):
-            one, above = p.bits(self.n), np.empty(self.n, np.uint32)
+            one, above = p.bits(self.n), np.empty(self.n, kind)
             above[~one] = ids[: p.zeros]
-            above[one] = ids[p.zeros :] | np.uint32(1 << i)
+            above[one] = ids[p.zeros :] | kind(1 << i)
             ids = above
-        return ids
+        return ids.astype(np.uint32)
 
 
 def dump(doc_ids: list[int | None], ends: np.ndarray, ids: np.ndarray, bits: int) -> bytes:
