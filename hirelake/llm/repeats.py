@@ -101,15 +101,36 @@ def _find_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
             for row, data, offsets in H.slices(batch.column("text"), 2 << 20):
                 for more, skipped, part, ends in _sections(data, offsets, length):
                     r = runs(part, ends, length, gram)
+                    doc, a = ids[row + more + r["row"]].astype(np.int64), r["a"] + skipped
+                    g, again = _spread_repeats(r["g"], r["h"], doc, a)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(r["g"]), pa.array(r["h"]), pa.array(ids[row + more + r["row"]], pa.int64()),
-                            pa.array(r["a"] + skipped, pa.int64()), pa.array(r["n"], pa.int32()),
+                            pa.array(g), pa.array(r["h"]), pa.array(doc), pa.array(a),
+                            pa.array(r["n"], pa.int32()), pa.array(again),
                         ],
-                        ["g", "h", "doc_id", "a", "n"],
+                        ["g", "h", "doc_id", "a", "n", "again"],
                     )
 
-    return docs.select("doc_id", "text").mapInArrow(find, "g long, h long, doc_id long, a long, n int")
+    return docs.select("doc_id", "text").mapInArrow(
+        find, "g long, h long, doc_id long, a long, n int, again boolean"
+    )
+
+
+def _spread_repeats(
+    g: np.ndarray, h: np.ndarray, doc: np.ndarray, a: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of the runs of a slice that are equal to an earlier run of it. They
+    are repeats whatever else there is, so their anchor gives way to a hash of
+    their place: a run that occurs very often is sent on once a slice, and the
+    rest spreads over all tasks."""
+    order = np.lexsort((a, doc, h, g))
+    first = np.ones(len(g), bool)
+    first[1:] = (g[order][1:] != g[order][:-1]) | (h[order][1:] != h[order][:-1])
+    lead = order[np.maximum.accumulate(np.where(first, np.arange(len(g)), 0))] if len(g) else order
+    again = np.zeros(len(g), bool)
+    again[order] = (doc[order] != doc[lead]) | (a[order] != a[lead])
+    place = H.signed(H.mix(doc.astype(H.U64) * H.U64(0x9E3779B97F4A7C15) + a.astype(H.U64)))
+    return np.where(again, place, g), again
 
 
 def repeated_windows(
@@ -166,8 +187,8 @@ def repeated_spans(
             {"_low": F.min("h").over(by_anchor), "_high": F.max("h").over(by_anchor), "_nth": F.rank().over(by_run)}
         )
         .withColumn("differ", F.col("_low") != F.col("_high"))
-        .where(F.col("differ") | (F.col("_nth") > 1))
-        .select("g", "doc_id", "a", "n", "differ", (F.col("_nth") == 1).alias("first")),
+        .where(F.col("again") | F.col("differ") | (F.col("_nth") > 1))
+        .select("g", "doc_id", "a", "n", "differ", (~F.col("again") & (F.col("_nth") == 1)).alias("first")),
         "runs",
     )
     copies = seen.where(~F.col("first")).select("doc_id", F.col("a").alias("s"), (F.col("a") + F.col("n") - 1 + length).alias("e"))
