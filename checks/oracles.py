@@ -343,7 +343,8 @@ ORACLES = {
     ),
     "salary_distribution": _CLEAN.format(
         """SELECT CAST(floor(salary_min_cleaned / 100000000) * 100000000 AS DECIMAL(38, 0)) AS salary_from,
-            count(*) AS postings, min(salary_min_cleaned) AS lowest_min, max(salary_max_cleaned) AS highest_max
+            count(*) AS postings, min(salary_min_cleaned) AS lowest_min, max(salary_max_cleaned) AS highest_max,
+            quantile_disc(salary_min_cleaned, 0.5) AS median_min
           FROM clean GROUP BY 1"""
     ),
     "postings_fact": _with(

@@ -24,13 +24,15 @@ def newest_jobs(silver: DataFrame, n: int = 100, key: str = "job_id_platform") -
 
 def salary_distribution(silver: DataFrame, width: int) -> DataFrame:
     """Postings per band of ``width`` of the lower salary bound, with the range of
-    bounds seen; postings without a salary form the band null."""
+    bounds seen and the median lower bound (approximate in bands of more than ten
+    thousand postings); postings without a salary form the band null."""
     low = F.col("salary_min_cleaned")
     band = F.floor(low / F.lit(width).cast("decimal(18,0)")).cast("decimal(38,0)") * width
     return silver.groupBy(band.cast("decimal(38,0)").alias("salary_from")).agg(
         F.count(F.lit(1)).alias("postings"),
         F.min("salary_min_cleaned").alias("lowest_min"),
         F.max("salary_max_cleaned").alias("highest_max"),
+        F.percentile_approx("salary_min_cleaned", 0.5, 10_000).alias("median_min"),
     )
 
 
