@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from hirelake.llm.bwt import collect, merge, suffix_order
 from hirelake.llm.chat import TEMPLATE, Guard, Reader, format_conversations, read_formatted
-from hirelake.llm.pii import KINDS, find_personal_data, masked, spans_text
+from hirelake.llm.pii import (
+    KINDS, _corpus_patterns, _one_a_place, base_spans, context_patterns, find_personal_data, masked, spans_text,
+)
 from hirelake.llm.repeats import remove_repeats
 from hirelake.llm.templates import Const, For, If, Output, Template, TemplateError, Text, parse
 
@@ -78,6 +80,33 @@ def test_contexts_find_unseen_identifiers(documents):
     assert spans[8] == "" and spans[10] == "" and spans[9].startswith("card:")
 
 
+def test_contexts_glued_to_the_identifier(documents):
+    """Label and identifier in one run of characters, other words all around; the
+    label also stands free once."""
+    cards = ["4111111111111111", "378282246310005", "30569309025904", "6011111111111117",
+             "5555555555554444", "4012888888881881"]
+    lines, want = [], []
+    for n, (label, close) in enumerate([("tel:", ""), ("id=", ""), ("<", ">"), ('"mail":"', '","x":1}'), ("ref#", "")]):
+        lines += [f"w{chr(97 + i)}x {label}{c}{close} more {i}" for i, c in enumerate(cards)]
+        unseen = [f"v{chr(97 + i)}y {label}77{n}{i}412{close} rest" for i in range(3)]
+        want += [(len(lines) + i, t.index(f"77{n}{i}412")) for i, t in enumerate(unseen)]
+        lines += [*unseen, f"free {label} sign"]
+    spans = {r.doc_id: r.spans for r in found(documents([*lines, "elsewhere stands 7700412, again", "a plain number 1234567 here"]))}
+    for i, at in want:
+        assert spans[i] == f"found:{at}:{at + 7}"
+    assert spans[len(lines)] == "found:17:24" and spans[len(lines) + 1] == ""
+
+
+def test_a_place_counts_once_on_both_sides(documents, spark):
+    """No pattern has more identifiers behind it than places."""
+    texts = ["(a@b.c)", "x (d@e.f)", "(4111111111111111@g.h) (", "éa@b.c", "ip1.2.3.4 v5.6.7.8", "mail:a@b.c,d@e.f;key=a@b.c"] * 3
+    df = documents(texts).select("text", base_spans(F.col("text")).alias("base"))
+    seen = df.select(F.explode(_one_a_place(F.col("base"))).alias("o")).select(F.explode(context_patterns(F.col("o"))).alias("hash"))
+    n = {r.hash: r["count"] for r in seen.groupBy("hash").count().collect()}
+    total = {r.hash: r["count"] for r in _corpus_patterns(df).groupBy("hash").count().collect()}
+    assert n and all(c <= total[h] for h, c in n.items())
+
+
 def test_personal_data_without_rows_and_repeats(documents):
     assert find_personal_data(documents([])).count() == 0
     rows = found(documents(["a@b.co", "a@b.co", None], [1, 1, None]))
