@@ -1,21 +1,24 @@
 """Quality classifier by co-training of two views.
 
 One logistic model sees a document's text, the other its metadata (source,
-language, length). Both start from a bounded sample of labelled documents. In each
-round either model marks those documents of an unlabelled pool of which its
-calibrated probability is confident, and hands them to the other model as training
-rows. In the end both are calibrated on held-out labels and combined by a third
+language, length). Both start from a bounded sample of labelled documents, drawn by
+class. In each round either model scores all unlabelled documents, and hands those
+of which its calibrated probability is the most confident to the other model as
+training rows. In the end both are calibrated on held-out labels and combined by a third
 logistic model; a threshold that loses few good held-out documents decides.
 
-The sample and the pool have fixed sizes, so the driver trains on as much whatever
-the corpus; scoring covers every document in one pass without a shuffle.
+The sample and what is handed over have fixed sizes, so the driver trains on as much
+whatever the corpus; a round and the final scoring are one pass over the documents each.
 """
 
-from collections.abc import Iterator
+import warnings
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,39 +134,73 @@ class CoTrained:
         return _sigmoid(self.combination.logit(views))
 
 
+@dataclass(frozen=True)
+class Judge:
+    """A view's model and its calibration."""
+
+    model: Logistic
+    calibrated: Logistic
+
+    def good(self, x: np.ndarray) -> np.ndarray:
+        return _sigmoid(self.calibrated.logit(self.model.logit(x)[:, None]))
+
+
+#: From the judges of both views, the least confidence and a number: for (view,
+#: answer) the other view's features of the most confident rows, that many at most,
+#: none of which the other view has been given before.
+Offers = Callable[[list[Judge], float, int], dict[tuple[int, int], np.ndarray]]
+
+
+def _offers_of_arrays(views: tuple[np.ndarray, np.ndarray]) -> Offers:
+    free = [np.ones(len(views[0]), bool), np.ones(len(views[0]), bool)]  # not yet given to view i
+
+    def offers(judges: list[Judge], confident: float, most: int) -> dict[tuple[int, int], np.ndarray]:
+        out = {}
+        for i in (0, 1):
+            p = judges[i].good(views[i])
+            for answer, sure in ((1, p), (0, 1 - p)):
+                may = np.flatnonzero(free[1 - i] & (sure >= confident))
+                take = may[np.argsort(-sure[may], kind="stable")[:most]]
+                free[1 - i][take] = False
+                out[i, answer] = views[1 - i][take]
+        return out
+
+    return offers
+
 
 def co_train(
     content: np.ndarray, metadata: np.ndarray, label: np.ndarray, rounds: int = 3,
-    confident: float = 0.97, exchange: int = 500, most_lost: float = 0.002,
+    confident: float = 0.97, exchange: int = 500, most_lost: float = 0.002, offers: Offers | None = None,
 ) -> CoTrained | None:
-    """Train on rows with label 0 or 1 and a pool of rows with label -1, in the
-    given (random) order; None if a class is absent. One labelled row in four is
-    held out for calibration, combination and the threshold, which lets through
-    all but ``most_lost`` of the held-out good rows and is 0.5 at most."""
-    known = np.flatnonzero(label >= 0)
-    held, train = known[::4], np.setdiff1d(known, known[::4])
-    if min(len(set(label[held])), len(set(label[train]))) < 2:
+    """Train on rows with label 0 or 1, in the given (random) order, and on what
+    ``offers`` has, by default a pool of the rows with label -1; None if a class is
+    absent. Of each class one row in four is held out for calibration, combination
+    and the threshold, which lets through all but ``most_lost`` of the held-out good
+    rows and is 0.5 at most. A class of one row is both trained on and held out."""
+    classes = [np.flatnonzero(label == y) for y in (0, 1)]
+    if not all(map(len, classes)):
         return None
-    pool = np.flatnonzero(label < 0)
+    held = np.sort(np.concatenate([c[::4] for c in classes]))
+    train = np.sort(np.concatenate([np.setdiff1d(c, c[::4]) if len(c) > 1 else c for c in classes]))
     views = (content, metadata)
-    rows = [train, train]
+    offers = offers or _offers_of_arrays((content[label < 0], metadata[label < 0]))
+    rows = [v[train] for v in views]
     answers = [label[train].astype(float)] * 2
-    free = [np.ones(len(pool), bool), np.ones(len(pool), bool)]  # not yet given to view i
     models: list[Logistic] = []
     for round_ in range(rounds + 1):
-        models = [fit_logistic(views[i][rows[i]], answers[i]) for i in (0, 1)]
-        if round_ == rounds or not len(pool):
+        models = [fit_logistic(rows[i], answers[i]) for i in (0, 1)]
+        if round_ == rounds:
             break
-        for i in (0, 1):  # view i teaches the other one
-            other = 1 - i
-            calibrated = fit_logistic(models[i].logit(views[i][held])[:, None], label[held].astype(float), 1e-4)
-            p = _sigmoid(calibrated.logit(models[i].logit(views[i][pool])[:, None]))
-            for sure, answer in ((p, 1.0), (1 - p, 0.0)):
-                may = np.flatnonzero(free[other] & (sure >= confident))
-                take = may[np.argsort(-sure[may], kind="stable")[: exchange // 2]]
-                free[other][take] = False
-                rows[other] = np.concatenate((rows[other], pool[take]))
-                answers[other] = np.concatenate((answers[other], np.full(len(take), answer)))
+        judges = [
+            Judge(m, fit_logistic(m.logit(v[held])[:, None], label[held].astype(float), 1e-4))
+            for m, v in zip(models, views, strict=True)
+        ]
+        given = offers(judges, confident, exchange // 2)
+        if not any(map(len, given.values())):
+            break
+        for (i, answer), x in given.items():  # view i teaches the other one
+            rows[1 - i] = np.concatenate((rows[1 - i], x))
+            answers[1 - i] = np.concatenate((answers[1 - i], np.full(len(x), float(answer))))
     stacked = np.stack([m.logit(v[held]) for m, v in zip(models, views, strict=True)], axis=1)
     combination = fit_logistic(stacked, label[held].astype(float), 1e-4)
     p = _sigmoid(combination.logit(stacked))
@@ -172,44 +209,99 @@ def co_train(
     return CoTrained(models[0], models[1], combination, threshold, float(((p >= 0.5) == label[held]).mean()))
 
 
-def train_quality(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = 6000, pool: int = 6000,
-    seed: int = 9, **options: float,
-) -> CoTrained | None:
-    """Fit on ``labelled`` labelled and ``pool`` unlabelled documents at most, those
-    with the smallest hashes of their ids. Null labels are no labels; a document
-    labelled more than once counts as its worst label. None without two classes."""
-    key = [F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")]
-    marks = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("_y"))
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    known = ids.join(marks, "doc_id").orderBy(*key).limit(labelled)
-    free = ids.join(marks, "doc_id", "left_anti").orderBy(*key).limit(pool).withColumn("_y", F.lit(-1))
-    chosen = materialise(known.unionByName(free).select(F.col("doc_id").alias("_id"), "_y"), "sample")
-    rows = docs.select("doc_id", "text", "source", "lang", "n_chars")
-    sample = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # labelled + pool rows at most
+def _features(rows: DataFrame, more: str) -> pa.Table:
+    """``doc_id``, both views and the columns ``more`` (names and types) of few rows."""
+    names = [c.split()[0] for c in more.split(", ")]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, m = _views(batch)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("_y"),
-                    pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in m], pa.binary()),
-                ],
-                ["doc_id", "y", "x", "m"],
-            )
-
-    got = sample.mapInArrow(features, "doc_id long, y int, x binary, m binary").toArrow()
-    if not got.num_rows:
+            x, m = (pa.array([r.tobytes() for r in v], pa.binary()) for v in _views(batch))
+            given = [batch.column(c) for c in ("doc_id", *names)]
+            yield pa.RecordBatch.from_arrays([*given, x, m], ["doc_id", *names, "x", "m"])
+
+    return rows.mapInArrow(features, f"doc_id long, {more}, x binary, m binary").toArrow()
+
+
+def _matrix(got: pa.Table, column: str) -> np.ndarray:
+    return np.stack([np.frombuffer(b, np.float32) for b in got.column(column).to_pylist()])
+
+
+def _offers_of_table(docs: DataFrame, marks: DataFrame, seed: int) -> Offers:
+    """Over all rows of ``docs`` whose id is not in ``marks``. Only ids and
+    confidences are joined; texts are read again for the few rows that are taken.
+    Of an id that is taken, the first row by its other columns counts."""
+    rows = docs.select("doc_id", "text", "source", "lang", "n_chars").where(F.col("doc_id").isNotNull())
+    taken = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # ids given to view i
+
+    def offers(judges: list[Judge], confident: float, most: int) -> dict[tuple[int, int], np.ndarray]:
+        gone = list(taken)
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a in range(0, batch.num_rows, 512):
+                    part = batch.slice(a, 512)
+                    ids, views = part.column("doc_id").to_numpy(), _views(part)
+                    for i in (0, 1):
+                        p, free = judges[i].good(views[i]), ~np.isin(ids, gone[1 - i])
+                        for answer, sure in ((1, p), (0, 1 - p)):
+                            may = free & (sure >= confident)
+                            kind = np.full(may.sum(), 2 * i + answer, np.int32)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(ids[may]), pa.array(kind), pa.array(sure[may])], ["doc_id", "kind", "sure"]
+                            )
+
+        sure = rows.mapInArrow(judge, "doc_id long, kind int, sure double")
+        sure = sure.groupBy("doc_id", "kind").agg(F.max("sure").alias("sure")).join(marks, "doc_id", "left_anti")
+        sure = materialise(sure, "sure")
+        order = [F.desc("sure"), F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")]
+        best = [sure.where(F.col("kind") == k).orderBy(*order).limit(most) for k in range(4)]
+        best = materialise(reduce(DataFrame.unionByName, best), "best").select(F.col("doc_id").alias("_id"), "kind")
+        found = rows.join(F.broadcast(best), F.col("doc_id") == F.col("_id"))
+        found = found.groupBy("doc_id", "kind").agg(F.min(F.struct("text", "source", "lang", "n_chars")).alias("_r"))
+        got = _features(found.select("doc_id", "kind", "_r.*"), "kind int").sort_by("doc_id")
+        out = {}
+        for i, answer in ((0, 1), (0, 0), (1, 1), (1, 0)):
+            mine = got.filter(pc.equal(got.column("kind"), 2 * i + answer))
+            if mine.num_rows:
+                taken[1 - i] = np.union1d(taken[1 - i], mine.column("doc_id").to_numpy())
+                out[i, answer] = _matrix(mine, "x" if i else "m")
+        return out
+
+    return offers
+
+
+def train_quality(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = 6000,
+    seed: int = 9, **options: float,
+) -> CoTrained | None:
+    """Fit on ``labelled`` labelled documents at most, those of each class with the
+    smallest hashes of their ids: half of them from each class, more from one if the
+    other has fewer. Every round looks at all unlabelled documents. Null labels are
+    no labels; a document labelled more than once counts as its worst label. None,
+    with a warning, only if no document of a class is labelled at all."""
+    key = [F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")]
+    marks = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("_y"))
+    marks = materialise(marks, "marks")
+    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    known = materialise(ids.join(marks, "doc_id"), "known")
+    of = [known.where(F.col("_y") == y).orderBy(*key) for y in (0, 1)]
+    sizes = [min(labelled, known.where(F.col("_y") == y).count()) for y in (0, 1)]
+    if not all(sizes):
+        warnings.warn("no quality classifier: the labels of the documents lack a class", stacklevel=2)
         return None
-    ids_ = np.array(got.column("doc_id").to_pylist(), np.uint64)
+    half = labelled // 2
+    of = [of[y].limit(min(sizes[y], max(half, labelled - sizes[1 - y]))) for y in (0, 1)]
+    chosen = materialise(of[0].unionByName(of[1]).select(F.col("doc_id").alias("_id"), "_y"), "sample")
+    rows = docs.select("doc_id", "text", "source", "lang", "n_chars")
+    sample = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # labelled rows at most
+    got = _features(sample, "_y int")
+    ids_ = np.array(got.column("doc_id").to_pylist(), np.int64).astype(np.uint64)
     order = np.lexsort((ids_, H.mix(ids_ + H.U64(seed))))  # a random order that every run repeats
-    x, m = (
-        np.stack([np.frombuffer(b, np.float32) for b in got.column(c).to_pylist()])[order] for c in ("x", "m")
-    )
-    return co_train(x, m, np.array(got.column("y").to_pylist())[order], **options)
+    x, m = _matrix(got, "x")[order], _matrix(got, "m")[order]
+    y = np.array(got.column("_y").to_pylist())[order]
+    return co_train(x, m, y, offers=_offers_of_table(docs, marks, seed), **options)
 
 
 def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

@@ -43,6 +43,33 @@ def test_held_out_accuracy(spark, given):
     assert np.mean(good) > 0.99 and np.mean(bad) < 0.2
 
 
+def test_a_rare_class_is_drawn_whole(spark, documents, monkeypatch):
+    """Three bad labels in a table ten times the bound; every unlabelled document is
+    looked at."""
+    import hirelake.llm.cotraining as c
+
+    bad = {500, 1001, 1502}
+    texts = ["BUY!!! $$$ 999 " * 9 if i in bad or i >= 2900 else f"a quiet line of plain words number {i} " * 5 for i in range(3000)]
+    docs = documents(texts)
+    labels = spark.createDataFrame([(i, int(i not in bad)) for i in range(2000)], "doc_id long, quality int")
+    seen = []
+    fit = c.co_train
+    monkeypatch.setattr(c, "co_train", lambda x, m, y, **o: seen.append(y) or fit(x, m, y, **o))
+    model = train_quality(docs, labels, labelled=200)
+    assert (seen[0] == 0).sum() == 3 and (seen[0] == 1).sum() == 197
+    got = {r.doc_id: r.quality for r in score_documents(docs, model).collect()}
+    assert not any(got[i] for i in range(2900, 3000)) and all(got[i] for i in range(2900) if i not in bad)
+    judges = [c.Judge(m, c.Logistic(np.zeros(1), np.ones(1), np.ones(1), 0.0)) for m in (model.content, model.metadata)]
+    given = c._offers_of_table(docs, labels, 9)(judges, 0.0, 5000)
+    assert {k: len(x) for k, x in given.items()} == dict.fromkeys([(0, 1), (0, 0), (1, 1), (1, 0)], 1000)
+
+
+def test_one_label_of_a_class_is_enough():
+    label = np.array([0] + [1] * 40)
+    x = np.random.default_rng(3).normal(size=(41, 4)) + label[:, None]
+    assert co_train(x, x, label) is not None
+
+
 def test_awkward_documents(spark, documents, awkward):
     docs = documents(awkward, [None, *range(1, len(awkward))], [None] * len(awkward))
     labels = spark.createDataFrame(
