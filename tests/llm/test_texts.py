@@ -97,6 +97,18 @@ def test_contexts_glued_to_the_identifier(documents):
     assert spans[len(lines)] == "found:17:24" and spans[len(lines) + 1] == ""
 
 
+def test_identifiers_many_patterns_away(documents):
+    """Each label stands before the identifiers of the label before it and three new ones."""
+    cards = ["4111111111111111", "378282246310005", "30569309025904", "6011111111111117"]
+    texts = [f"aa {c} x" for c in cards]
+    texts += [f"aa 90{i}0000 x" for i in range(3)]
+    for k, label in enumerate(["bb", "cc", "dd", "ee", "ff", "gg"]):
+        texts += [f"{label} 9{k}{i}0000 x" for i in (0, 1, 2, 0, 1)]
+        texts += [f"{label} 9{k + 1}{i}0000 x" for i in range(3)]
+    spans = {r.doc_id: r.spans for r in found(documents(texts))}
+    assert all(spans[i] == "found:3:10" for i in range(7, len(texts)))
+
+
 def test_a_place_counts_once_on_both_sides(documents, spark):
     """No pattern has more identifiers behind it than places."""
     texts = ["(a@b.c)", "x (d@e.f)", "(4111111111111111@g.h) (", "éa@b.c", "ip1.2.3.4 v5.6.7.8", "mail:a@b.c,d@e.f;key=a@b.c"] * 3
