@@ -1,6 +1,6 @@
 """Reports over silver that the stated use cases call for."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.operators.keys import dense_id
@@ -24,15 +24,22 @@ def newest_jobs(silver: DataFrame, n: int = 100, key: str = "job_id_platform") -
 
 def salary_distribution(silver: DataFrame, width: int) -> DataFrame:
     """Postings per band of ``width`` of the lower salary bound, with the range of
-    bounds seen and the median lower bound (approximate in bands of more than ten
-    thousand postings); postings without a salary form the band null."""
+    bounds seen and the (lower) median of the lower bound; postings without a salary
+    form the band null. Different bounds are counted first, so a band's window has
+    one row for each of them."""
     low = F.col("salary_min_cleaned")
     band = F.floor(low / F.lit(width).cast("decimal(18,0)")).cast("decimal(38,0)") * width
-    return silver.groupBy(band.cast("decimal(38,0)").alias("salary_from")).agg(
-        F.count(F.lit(1)).alias("postings"),
+    counted = silver.groupBy(band.cast("decimal(38,0)").alias("salary_from"), low).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("salary_max_cleaned").alias("_highest")
+    )
+    all_ = Window.partitionBy("salary_from")
+    upto = all_.orderBy("salary_min_cleaned").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(all_))
+    return ranked.groupBy("salary_from").agg(
+        F.sum("_n").alias("postings"),
         F.min("salary_min_cleaned").alias("lowest_min"),
-        F.max("salary_max_cleaned").alias("highest_max"),
-        F.percentile_approx("salary_min_cleaned", 0.5, 10_000).alias("median_min"),
+        F.max("_highest").alias("highest_max"),
+        F.min(F.when(2 * F.col("_upto") >= F.col("_all"), low)).alias("median_min"),
     )
 
 

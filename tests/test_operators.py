@@ -148,6 +148,16 @@ def test_salary_bands(spark):
     assert got == {0: 2, 10: 1, None: 1}
 
 
+def test_the_median_is_exact_in_large_bands(spark):
+    n = 300_001
+    df = spark.range(0, n, 1, 7).select(
+        F.expr(f"id * 7919 % {n}").cast("decimal(38,9)").alias("salary_min_cleaned"),
+        F.lit(None).cast("decimal(38,9)").alias("salary_max_cleaned"),
+    )
+    row = salary_distribution(df, 1_000_000).first()
+    assert (row.postings, row.lowest_min, row.median_min, row.highest_max) == (n, 0, 150_000, None)
+
+
 def test_star_keeps_every_posting(spark):
     df = spark.createDataFrame([("a", None, "r"), ("a", "x", "r"), ("b", "x", "s")], "company string, location string, role string")
     star = postings_star(df)
