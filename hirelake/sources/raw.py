@@ -30,7 +30,7 @@ _OPTIONS = {
 }
 _ANY_CASE = {"csv": "*.[cC][sS][vV]", "json": "*.[jJ][sS][oO][nN]"}
 # CSV columns are read by place and named by each file's header, which may hold
-# more columns than the ten.
+# more columns than the ten; at least so many places, more if a header has more.
 _PLACES = 40
 # The folder of a raw file, its run's folder left out.
 _FOLDER_IN_PATH = r"([^/]+)/+(?:run=[^/]*/+)?[^/]*$"
@@ -106,9 +106,9 @@ def _headers(spark: SparkSession, paths: list[str], options: dict) -> DataFrame:
     return materialise(first.select("_file", F.col("_h.names").alias("_names")), "headers")
 
 
-def _named(files: DataFrame, headers: DataFrame) -> DataFrame:
+def _named(files: DataFrame, headers: DataFrame, n_places: int) -> DataFrame:
     """The ten raw columns of CSV rows read by place."""
-    places = F.array(*[f"_{i}" for i in range(_PLACES)])
+    places = F.array(*[f"_{i}" for i in range(n_places)])
     missing = F.raise_error(F.concat(F.lit("no header with a field Job_ID in "), F.col("_path")))
     names = F.when(F.col("_names").isNull(), missing.cast("array<string>")).otherwise(F.col("_names"))
 
@@ -145,9 +145,11 @@ def read_raw(
     folders = [path] if isinstance(path, str) else list(path)
     paths = [raw_paths(f, fmt, table_date, any_case) for f in folders]
     schema = RAW
-    if kind == "csv":
-        schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(_PLACES)])
     try:
+        if kind == "csv":
+            headers = _headers(spark, paths, options)
+            n_places = max(_PLACES, headers.agg(F.max(F.size("_names"))).first()[0] or 0)
+            schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(n_places)])
         files = spark.read.schema(schema).options(**options).format(kind).load(paths)
     except AnalysisException as e:
         if table_date is None or e.getCondition() != "PATH_NOT_FOUND":
@@ -163,7 +165,7 @@ def read_raw(
         day.alias("table_date"),
     )
     if kind == "csv":
-        return _named(files, _headers(spark, paths, options))
+        return _named(files, headers, n_places)
     return files.drop("_path")
 
 

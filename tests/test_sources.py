@@ -88,6 +88,14 @@ def test_a_day_knows_only_its_files(spark, folder):
     }
 
 
+def test_columns_far_right_are_read(spark, tmp_path):
+    names = [f"x{i}" for i in range(60)]
+    (tmp_path / "a_20250718_201025.csv").write_text(",".join([*names, "Role", "Job_ID"]) + "\n" + "v," * 60 + "r,1\n")
+    (tmp_path / "b_20250718_201025.csv").write_text("Job_ID,Role\n2,s\n")
+    rows = {r.Job_ID: r.Role for r in raw.read_raw(spark, str(tmp_path)).collect()}
+    assert rows == {"1": "r", "2": "s"}
+
+
 def test_columns_go_by_the_files_header(spark, tmp_path):
     (tmp_path / "a_20250718_201025.csv").write_text("URL,Job_ID,Other,Role\nu/1,1,x,r\n")
     (tmp_path / "b_20250718_201025.csv").write_text('"Job_ID",Role\n2,"Job_ID, of all"\n')
