@@ -1,17 +1,23 @@
 """The registered queries of the dealt operators and their DuckDB twins."""
 
+import zlib
+
+import numpy as np
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.llm.boosting import judge_documents, train_rules
 from hirelake.llm.chat import format_conversations, read_formatted
 from hirelake.llm.cotraining import score_documents, train_quality
 from hirelake.llm.fingerprints import fingerprint_documents
+from hirelake.llm.manifest import FANOUT, leaf_digest, merkle_manifest
 from hirelake.llm.mixing import mix_sources
 from hirelake.llm.packing import Limits, pack_documents
 from hirelake.llm.parity import jaccard_components
 from hirelake.llm.pii import KINDS, find_personal_data, spans_text
 from hirelake.llm.repeats import remove_repeats
+from hirelake.llm.runs import periodic_runs
 from hirelake.llm.subspace import near_components
 from hirelake.llm.wavelet import read_shards, write_shards
 from hirelake.scratch import materialise, scratch_path
@@ -100,6 +106,40 @@ def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), 100)
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    text, upper = F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rest = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    shown = F.when(tampered, leaf_digest([*rest, F.translate(text, upper, upper.lower())]))
+    return merkle_manifest(docs, leaf_digest([*rest, text]), shown)
+
+
+def planted_period(doc_id: int | None, n: int) -> np.ndarray | None:
+    """In one document of ten the words from some place on repeat a beginning of them."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 or not n:
+        return None
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i >= a, a + (i - a) % p, i)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_table(spark, sf_dir, "documents"), planted_period, texts=False)
+    return found.drop("runs", "collapsed")
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return judge_documents(docs, train_rules(docs, _table(spark, sf_dir, "labels")))
+
+
 # Smallest node reachable over the links (a, b), both directions.
 _REACHED = """reached AS (
   SELECT {id} AS a, {id} AS b FROM {nodes}
@@ -147,3 +187,70 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, by the table of its polynomial's bytes."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    step = f"list_extract({table}, 1 + (xor(a, b) & 255))"
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda a, b: xor(a >> 8, {step})))"
+
+
+def _manifest_sql(heights: int) -> str:
+    """Trees of up to ``FANOUT ** heights`` leaves, the tree over the groups among them."""
+
+    def field(c: str) -> str:
+        return f"coalesce(concat(strlen(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256(concat({', '.join(map(field, ('doc_id', 'source', 'lang', 'n_chars', text)))}))"
+
+    def levels(name: str, first: str) -> str:
+        """Tables name0, name1, ...: (g, r, h, m nodes in all) with the siblings l and x."""
+        run = f"(PARTITION BY g, r // {FANOUT} ORDER BY r ROWS BETWEEN"
+        parts, source = [], first
+        for k in range(heights + 1):
+            parts.append(f"""{name}{k} AS (SELECT g, r, h, m,
+              coalesce(string_agg(h, '') OVER {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+              coalesce(string_agg(h, '') OVER {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS x FROM ({source}))""")
+            source = f"""SELECT g, r // {FANOUT} AS r, CASE WHEN max(m) > 1 THEN sha256(string_agg(h, '' ORDER BY r))
+              ELSE any_value(h) END AS h, (max(m) + {FANOUT - 1}) // {FANOUT} AS m FROM {name}{k} GROUP BY ALL"""
+        return ", ".join(parts)
+
+    def climb(name: str, g: str, r: str, node: str) -> tuple[str, str, str]:
+        """Joins of a node's levels, its siblings and its fold."""
+        joins, proof, fold = "", [], node
+        for k in range(heights):
+            t = f"{name}{k}"
+            joins += f" JOIN {t} ON {t}.g = {g} AND {t}.r = {r} // {FANOUT**k}"
+            proof.append(f"CASE WHEN {t}.m > 1 THEN {t}.l || {t}.x ELSE '' END")
+            fold = f"CASE WHEN {t}.m > 1 THEN sha256({t}.l || {fold} || {t}.x) ELSE {fold} END"
+        return joins, " || ".join(proof), fold
+
+    below, proof, _ = climb("n", "p.g", "p.r", "h")
+    above, top_proof, _ = climb("t", "''", "s.r", "h")
+    fold, steps = "shown", []
+    for name, k in [*(("n", k) for k in range(heights)), *(("t", k) for k in range(heights))]:
+        steps.append(f"f{len(steps)} AS (SELECT *, CASE WHEN {name}{k}_m > 1 THEN sha256({name}{k}_l || {fold} || {name}{k}_x) ELSE {fold} END AS v{len(steps)} FROM {f'f{len(steps) - 1}' if steps else 'whole'})")
+        fold = f"v{len(steps) - 1}"
+    columns = ", ".join(f"{t}{k}.{c} AS {t}{k}_{c}" for t in "nt" for k in range(heights) for c in "mlx")
+    tampered = f"CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN translate(text, '{_UPPER}', '{_UPPER.lower()}') ELSE text END"
+    return f"""WITH p AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf('text')} AS leaf, {leaf('given')} AS shown,
+      row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS r, count(*) OVER (PARTITION BY lang) AS m
+      FROM (SELECT *, {tampered} AS given FROM documents)),
+    {levels('n', 'SELECT g, r, leaf AS h, m FROM p')},
+    s AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS r, count(*) OVER () AS m FROM n{heights}),
+    {levels('t', "SELECT '' AS g, r, h, m FROM s")},
+    whole AS (SELECT doc_id, leaf, shown, s.h AS subroot, (SELECT h FROM t{heights}) AS root,
+      sha256({proof} || {top_proof}) AS proof_sha256, {columns}
+      FROM p JOIN s ON s.g = p.g {below}{above}),
+    {', '.join(steps)}
+    SELECT doc_id, leaf, subroot, root, proof_sha256, {fold} AS folded_root, {fold} = root AS verified FROM f{len(steps) - 1}"""
+
+
+ORACLES["op11_merkle_manifest"] = _manifest_sql(7)
