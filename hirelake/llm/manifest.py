@@ -63,19 +63,18 @@ def _word(id_: Column) -> Column:
     return F.coalesce(F.shiftright(id_, _WORD).bitwiseAND(F.lit(63)), F.lit(0)).cast("int")
 
 
-def _bit(id_: str) -> str:
-    return f"coalesce({id_} & 63, 0)"
+_BIT = "coalesce(_id & 63, 0)"
 
 
 def id_bitmaps(rows: DataFrame) -> DataFrame:
     """From (``_group``, ``_id``): one row per group and container with its ``words``
-    (number, bits, rows; at most 64), and the rows of the group in containers
-    before it (``before``). Written tables."""
+    (by number: bits, rows, rows of the container before it; at most 64), and the
+    rows of the group in containers before it (``before``). Written tables."""
     words = rows.groupBy("_group", _container(F.col("_id")).alias("container"), _word(F.col("_id")).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast({_bit('_id')} as int))")).alias("bits"), F.count(F.lit(1)).alias("n")
+        F.bit_or(F.expr(f"shiftleft(1L, cast({_BIT} as int))")).alias("bits"), F.count(F.lit(1)).alias("n")
     )
     containers = words.groupBy("_group", "container").agg(
-        F.sort_array(F.collect_list(F.struct("word", "bits", "n"))).alias("words"), F.sum("n").alias("rows")
+        F.sort_array(F.collect_list(F.struct("word", "bits", "n"))).alias("_words"), F.sum("n").alias("rows")
     )
     slices = materialise(
         containers.repartitionByRange("_group", "container")
@@ -87,18 +86,22 @@ def id_bitmaps(rows: DataFrame) -> DataFrame:
     ahead = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.groupBy("_group", "_slice").agg(F.sum("rows").alias("_rows"))  # a row for each task and group
     starts = starts.select("_group", "_slice", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_start"))
+
+    def entry(w: Column, i: Column) -> Column:
+        ahead = F.aggregate(F.slice("_words", F.lit(1), i), F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+        return F.struct(w["word"], F.struct(w["bits"].alias("bits"), w["n"].alias("n"), ahead.alias("before")))
+
     directory = (
         slices.withColumn("_in", F.coalesce(F.sum("rows").over(inside), F.lit(0)))
         .join(materialise(starts, "bitmap-starts"), ["_group", "_slice"])
-        .select("_group", "container", "words", "rows", (F.col("_start") + F.col("_in")).alias("before"))
-    )
+        .select(
+            "_group", "container", F.map_from_entries(F.transform("_words", entry)).alias("words"), "rows",
+            (F.col("_start") + F.col("_in")).alias("before"),
+        )
+    )
     return materialise(directory, "directory")
 
 
-def _before_word(words: Column, word: Column) -> Column:
-    return F.aggregate(F.filter(words, lambda w: w["word"] < word), F.lit(0).cast("long"), lambda acc, w: acc + w["n"])
-
-
 def with_ranks(rows: DataFrame, directory: DataFrame, ties: Sequence[str]) -> DataFrame:
     """``rows`` with ``_rank``, 0 upwards in each ``_group`` by ascending ``_id``, null
     first; rows that repeat an id by ``ties``, which must tell rows apart.
@@ -106,20 +109,15 @@ def with_ranks(rows: DataFrame, directory: DataFrame, ties: Sequence[str]) -> Da
     A word whose rows are more than its bits holds repeated ids. Its rows are numbered
     by a range sort; where ids are unique there are none.
     """
-    word = _word(F.col("_id"))
-    found = rows.withColumn("container", _container(F.col("_id"))).join(directory, ["_group", "container"])
-    mine = F.get(F.filter("words", lambda w: w["word"] == word), F.lit(0))
-    before = F.col("before") + _before_word(F.col("words"), word)
-    below = F.expr(f"~shiftleft(-1L, cast({_bit('_id')} as int))")
-    alone = found.where(F.bit_count(mine["bits"]) == mine["n"]).select(
-        *rows.columns, (before + F.bit_count(mine["bits"].bitwiseAND(below))).alias("_rank")
-    )
-    crowded = directory.where(F.exists("words", lambda w: F.bit_count(w["bits"]) != w["n"]))
+    found = rows.withColumn("container", _container(F.col("_id"))).withColumn("_word", _word(F.col("_id")))
+    found = found.join(directory, ["_group", "container"]).withColumn("_w", F.try_element_at("words", F.col("_word")))
+    found = found.withColumn("_before", F.col("before") + F.col("_w.before"))
+    below = F.expr(f"_w.bits & ~shiftleft(-1L, cast({_BIT} as int))")
+    alone = found.where("bit_count(_w.bits) = _w.n").select(*rows.columns, (F.col("_before") + F.bit_count(below)).alias("_rank"))
+    crowded = directory.where(F.exists(F.map_values("words"), lambda w: F.bit_count(w["bits"]) != w["n"]))
     if crowded.isEmpty():
         return alone
-    again = found.where(F.bit_count(mine["bits"]) != mine["n"]).select(
-        *rows.columns, "container", word.alias("_word"), before.alias("_before")
-    )
+    again = found.where("bit_count(_w.bits) <> _w.n").select(*rows.columns, "container", "_word", "_before")
     order = [F.asc_nulls_first("_id"), *[F.asc_nulls_first(c) for c in ties]]
     numbered = dense_id(again, order, "_nth", ["_group", "container", "_word"])
     return alone.unionByName(numbered.select(*rows.columns, (F.col("_before") + F.col("_nth") - 1).alias("_rank")))
@@ -245,7 +243,7 @@ def merkle_manifest(
     )
     height = next(i for i in range(22) if FANOUT**i >= n_groups)
     top_steps = _climb(tops, ["of"], height)
-    root = top_steps[-1].select(F.lit("").alias("_group"), F.col("top").alias("root"), F.array().cast(_PATH).alias("path"))
+    root = top_steps[-1].select("_group", F.col("top").alias("root"), F.array().cast(_PATH).alias("path"))
 
     above = _descend(
         top_steps, root, lambda s, path: F.struct(s["of"].alias("_of"), s["node"].alias("subroot"), path.alias("path"))

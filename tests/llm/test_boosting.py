@@ -1,0 +1,138 @@
+"""Quality rules: counts against plain Python, trees against their promises."""
+
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hirelake.llm.boosting import (
+    STATISTICS,
+    base_failed,
+    fit_forest,
+    judge_documents,
+    measure,
+    repeated_words,
+    train_rules,
+)
+from hirelake.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = {w: windows.count(w) for w in set(windows)} if len(windows) < 4000 else None
+    if times is None:
+        times = {}
+        for w in windows:
+            times[w] = times.get(w, 0) + 1
+    inside = {i + j for i, w in enumerate(windows) if times[w] > 1 for j in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    n = len(words)
+    failed = n < 50 or 100 * len(inside) > 50 * n
+    return n, sum(map(len, words)), len(re.findall("[#*$%&|<>]", text)), dup, len(inside), failed
+
+
+def test_counts_of_awkward_texts(documents, awkward):
+    texts = [*awkward, "a b c a b c", "x\nx\r\nx\n\n \n\nx", "# é* 😀% y", "w x y", "q " * 60, "same line\n" * 40]
+    docs = documents(texts, [None, 0, 0, *range(1, len(texts) - 2)])
+    got = judge_documents(docs, None)
+    assert got.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
+    want = [(i, *counts(t)) for i, t in zip([None, 0, 0, *range(1, len(texts) - 2)], texts, strict=True)]
+    rows = [tuple(r) for r in got.collect()]
+    assert sorted((r[:7] for r in rows), key=str) == sorted(want, key=str)
+    assert all(r[7] == (not r[6]) for r in rows)
+    assert judge_documents(docs.limit(0), None).count() == 0
+
+
+def test_repeated_words():
+    rng = np.random.default_rng(4)
+    for n in range(60):
+        w = rng.integers(0, 3, n)
+        text = " ".join(map(str, w))
+        assert repeated_words(w) == counts(text)[4]
+
+
+def test_query(spark, given):
+    _, rows = given("documents")
+    labels, _ = given("labels")
+    got = QUERIES["op13_quality_rules"](spark, "/root/testdata/sf0.001")
+    found = {r["doc_id"]: r for r in got.collect()}
+    assert len(found) == len(rows)
+    for r in rows:
+        assert tuple(found[r[0]])[1:7] == counts(r[1])
+        assert not (found[r[0]]["base_failed"] and found[r[0]]["kept"])
+    good = [r["doc_id"] for r in labels.where("quality = 1").collect()]
+    assert all(found[i]["kept"] or found[i]["base_failed"] for i in good)
+
+
+def test_held_out_labels(given):
+    """Fitted on the labels of even ids, judged on those of odd ones."""
+    docs, _ = given("documents", "sf0.01")
+    labels, _ = given("labels", "sf0.01")
+    rules = train_rules(docs, labels.where("doc_id % 2 = 0"))
+    judged = judge_documents(docs, rules).where("not base_failed").join(labels.where("doc_id % 2 = 1"), "doc_id")
+    got = judged.groupBy("quality", "kept").count().collect()
+    n = {(r["quality"], r["kept"]): r["count"] for r in got}
+    right = n.get((0, False), 0) + n.get((1, True), 0)
+    assert right >= 0.95 * sum(n.values())
+    assert n.get((1, False), 0) <= 0.02 * (n.get((1, True), 0) + n.get((1, False), 0))
+
+
+def noisy(n=1500):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(n, 4))
+    return x, (x[:, 0] + np.sin(3 * x[:, 1]) + 0.5 * rng.normal(size=n) > 0).astype(np.int64)
+
+
+def test_flattened_trees_equal_a_walk():
+    x, y = noisy()
+    f = fit_forest(x, y, [0, 0, 0, 0], trees=12, depth=4)
+    x[0, 1] = np.nan
+
+    def walk(row, node):
+        while f.left[node] != node:
+            node = f.left[node] if row[f.feature[node]] <= f.limit[node] else f.right[node]
+        return f.value[node]
+
+    want = [sum(walk(r, root) for root in f.roots) for r in x[:200]]
+    assert np.allclose(f.score(x[:200]), want)
+    assert ((f.score(x[1:]) > 0) == (y[1:] == 1)).mean() > 0.85
+
+
+@pytest.mark.parametrize("way", [1, -1])
+def test_monotonic(way):
+    x, y = noisy()
+    for feature in (0, 1, 2):  # rising, neither, unrelated
+        ways = [0] * 4
+        ways[feature] = way
+        f = fit_forest(x, y, ways, trees=40)
+        grid = np.repeat(x[:60], 80, axis=0)
+        grid[:, feature] = np.tile(np.linspace(-4, 4, 80), 60)
+        z = f.score(grid).reshape(60, 80)
+        assert (way * np.diff(z, axis=1) >= -1e-9).all()
+    free = fit_forest(x, y, [0] * 4, trees=40).score(np.stack([x[0] * 0, np.linspace(-4, 4, 4), x[0] * 0, x[0] * 0], 1))
+    assert len(set(free.round(6))) > 1
+
+
+def test_statistics_are_named():
+    assert len(measure(b"some text")[1]) == len(STATISTICS)
+    assert len(measure(b"")[1]) == len(STATISTICS) and base_failed(0, 0)
+
+
+def test_labels_without_a_class(documents, spark):
+    docs = documents(["word " * 3 + f"{i} " + " ".join(f"w{i * 7 + j}" for j in range(80)) for i in range(6)])
+    for rows in ([], [(0, 1)], [(0, None), (1, 1)]):
+        labels = spark.createDataFrame(rows, "doc_id long, quality int")
+        with pytest.warns(UserWarning):
+            assert train_rules(docs, labels) is None
+    some = spark.createDataFrame([(0, 1), (0, 0), (1, 1), (99, 0), (None, 0)], "doc_id long, quality int")
+    rules = train_rules(docs, some)
+    assert judge_documents(docs, rules).where(F.col("kept").isNull()).count() == 0
