@@ -12,6 +12,7 @@ from hirelake.operators import dedup, incremental, pages, quality, reports, word
 from hirelake.operators.keys import dense_id
 from hirelake.plans.daily import DailyRun, collect_pages, last_processed_time, run_daily
 from hirelake.plans.silver import build_silver, clean_postings
+from hirelake.plans.state import Lake
 from hirelake.schema import RAW
 from hirelake.scratch import materialise, scratch_path
 from hirelake.sources import layers, raw
@@ -372,7 +373,7 @@ def last_processed_time_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mark of each source before the first load, and after it."""
     lake, sources = scratch_path(spark, "lake"), ("board_north", "board_south")
     before = [last_processed_time(spark, lake, s, "incremental") for s in sources]
-    layers.load_bronze(_staged(spark, sf_dir), f"{lake}/bronze", "incremental")
+    Lake(lake).bronze.replace(_staged(spark, sf_dir))
     after = [last_processed_time(spark, lake, s, "incremental") for s in sources]
     return spark.createDataFrame(
         list(zip(sources, before, after, strict=True)), "source string, first_run string, mark string"

@@ -3,29 +3,17 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake import vocab
 from hirelake.operators.dedup import copies_report
-from hirelake.operators.incremental import check_load_type, high_water_mark, newer_than
+from hirelake.operators.incremental import check_load_type, newer_than
 from hirelake.operators.pages import attach_pages, extract_cards, matching_roles, postings
 from hirelake.operators.quality import quality_report
-from hirelake.operators.words import word_frequency
-from hirelake.plans.silver import build_silver, require_fields
-from hirelake.schema import BRONZE, GOLD, SILVER
-from hirelake.scratch import materialise
-from hirelake.sources.layers import (
-    empty_staging,
-    load_bronze,
-    read_sources,
-    read_staging,
-    replace_sources,
-    sources_without_rows,
-    stage,
-    write_staging,
-)
+from hirelake.plans.state import Lake, follow, load_day, read_gold, read_silver
+from hirelake.sources.layers import empty_staging, read_staging, sources_without_rows, stage, write_staging
+from hirelake.sources.logged import Check
 from hirelake.sources.raw import (
     read_raw,
     run_name,
@@ -37,8 +25,9 @@ from hirelake.sources.raw import (
 @dataclass(frozen=True)
 class DailyRun:
     """What one run needs: raw folders (one per source), the lake's root, the
-    day, the raw format, the load type and how raw files are read (see
-    ``reader_options``)."""
+    day, the raw format, the load type, how raw files are read (see
+    ``reader_options``), the number of buckets (see ``Lake``), and what looks at silver's
+    new rows before they are published."""
 
     folders: Sequence[str]
     lake: str
@@ -47,6 +36,8 @@ class DailyRun:
     load_type: str = "incremental"
     multi_line: bool = True
     any_case: bool = False
+    buckets: int = 16
+    check: Check | None = None
 
     @property
     def sources(self) -> list[str]:
@@ -78,44 +69,31 @@ def ingest(spark: SparkSession, cfg: DailyRun) -> DataFrame:
 
 
 def run_daily(spark: SparkSession, cfg: DailyRun) -> DailyResult:
-    """Ingest, load, clean, check and count; every source is a partition of the
-    same tables, so more sources mean more data, not more jobs. Only a source
-    without any row costs a small write of its own."""
+    """Ingest, load, clean, check and count. Every source is a partition of the same
+    tables, so more sources mean more data, not more jobs; only a source without any
+    row costs a small write of its own. A run touches its own day and the buckets of
+    its jobs; a run that is repeated changes nothing."""
     check_load_type(cfg.load_type)
-    paths = {t: f"{cfg.lake}/{t}" for t in ("bronze", "silver", "gold/word_frequency")}
-
+    lake = Lake(cfg.lake, cfg.buckets)
     staged = ingest(spark, cfg)
-    load_bronze(staged, paths["bronze"], cfg.load_type, cfg.sources)
-    bronze = read_sources(spark, paths["bronze"], BRONZE, cfg.sources)
-
-    without_rows = sources_without_rows(require_fields(bronze), cfg.sources)
-    replace_sources(build_silver(bronze, ["source"]), paths["silver"], without_rows)
-    silver = read_sources(spark, paths["silver"], SILVER, cfg.sources)
-
-    # A few hundred rows per source.
-    gold = materialise(word_frequency(silver, by=["source"], unique_keys=True), "gold")
-    replace_sources(gold, paths["gold/word_frequency"], sources_without_rows(gold, cfg.sources))
+    load_day(spark, lake, staged, cfg.sources, cfg.table_date, cfg.load_type)
+    follow(spark, lake, cfg.check)
+    silver = read_silver(spark, lake, cfg.sources)
     return DailyResult(
-        bronze=bronze,
+        bronze=lake.bronze.read(spark, F.col("source").isin(cfg.sources)),
         silver=silver,
-        gold=read_sources(spark, paths["gold/word_frequency"], GOLD, cfg.sources),
+        gold=read_gold(spark, lake, cfg.sources),
         dedup=copies_report(staged, "copies"),
         quality=quality_report(silver, by=["source"]),
     )
 
 
 def last_processed_time(spark: SparkSession, lake: str, source: str, load_type: str) -> str:
-    """The source's high-water mark in bronze; ``""`` for a full load and when
-    there is no bronze or no time yet. One value is brought back."""
+    """The source's high-water mark in bronze; ``""`` for a full load and when there is
+    no bronze or no time yet. Read from bronze's log, a row for each day."""
     if check_load_type(load_type) == "full":
         return ""
-    try:
-        bronze = read_sources(spark, f"{lake}/bronze", BRONZE, [source])
-    except AnalysisException as e:  # the first run
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return ""
-    return high_water_mark(bronze).first()["max_time"] or ""
+    return Lake(lake).bronze.maxima(spark, where=F.col("source") == source).first()["max_mark"] or ""
 
 
 def collect_pages(

@@ -19,18 +19,27 @@ def require_fields(bronze: DataFrame) -> DataFrame:
     return bronze.dropna(subset=REQUIRED_RAW)
 
 
-def clean_postings(bronze: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Silver without its dense key: one cleaned row per job, the earliest.
+# What settles which posting of a job is the first.
+FIRST_BY = ["Publish_Time", "URL", *[c for c in RAW.fieldNames() if c not in ("Job_ID", "Publish_Time", "URL")]]
+
 
-    Jobs are told apart by the text of ``Job_ID`` as it is in bronze; ids that
-    differ only in outer spaces stay two rows, which the quality check reports.
-    Equal times are settled by URL and then by all other columns, so a task that
-    runs again picks the same row. ``raw_id`` holds the untrimmed id.
+def first_postings(bronze: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The earliest row of each job that has everything a posting needs, as it is in
+    bronze. Jobs are told apart by the text of ``Job_ID``; ids that differ only in
+    outer spaces stay two rows, which the quality check reports. Equal times are settled
+    by URL and then by all other columns, so a task that runs again picks the same row.
     """
-    rest = [c for c in RAW.fieldNames() if c not in ("Job_ID", "Publish_Time", "URL")]
-    first = first_per_key(
-        require_fields(bronze), [*by, "Job_ID"], ["Publish_Time", "URL", *rest]
-    )
+    return first_per_key(require_fields(bronze), [*by, "Job_ID"], FIRST_BY)
+
+
+def clean_postings(bronze: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Silver without its dense key: one cleaned row per job, the earliest."""
+    return cleaned(first_postings(bronze, by), by)
+
+
+def cleaned(first: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows of :func:`first_postings` in silver's columns, without its dense key;
+    ``raw_id`` holds the untrimmed id."""
     text = {c: clean_text(F.col(c)) for c in RAW.fieldNames()}
     trimmed = first.select(
         *by,
