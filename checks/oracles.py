@@ -108,6 +108,22 @@ _STAGED = f"""staged AS (
   SELECT Job_ID, Role, Company, Location, min(Publish_Time) AS Publish_Time, URL, country, job_desc,
     salary, work_type, source, CAST(day AS DATE) AS table_date
   FROM postings GROUP BY ALL)"""
+# What is left of the first day after it has been loaded again.
+_HALF = "half AS (SELECT * FROM staged WHERE table_date = DATE '2025-07-19' OR length(URL) % 2 = 0)"
+_HALF = f"{_STAGED}, {_HALF}"
+
+
+def _percentiles(by: list[str], shares: tuple[float, ...]) -> str:
+    """The salary at rank ceil(share * n) of each group's salaries."""
+    over = f"PARTITION BY {', '.join(by)}" if by else ""
+    keys = "".join(f"{c}, " for c in by)
+    return f"""SELECT {keys}share, value, postings FROM (
+      SELECT {keys}salary_min_cleaned AS value, row_number() OVER ({over} ORDER BY salary_min_cleaned) AS place,
+        count(*) OVER ({over}) AS postings FROM clean WHERE salary_min_cleaned IS NOT NULL),
+      (SELECT unnest([{', '.join(f'CAST({s} AS DOUBLE)' for s in shares)}]) AS share)
+      WHERE place = greatest(1, CAST(ceil(share * postings) AS BIGINT))"""
+
+
 _SECOND = "table_date = DATE '2025-07-19' AND source = 'board_north'"
 
 _DEDUP_KEYS = "Role, Location, country, salary, work_type"
@@ -313,6 +329,25 @@ ORACLES = {
     "csv_columns_by_name": _with(
         _POSTINGS, "SELECT URL, Job_ID, Role, Company, Location, Publish_Time FROM postings"
     ),
+    "stream_by_header": _with(
+        _POSTINGS, "SELECT URL, Job_ID, Role, Company, Location, Publish_Time FROM postings"
+    ),
+    "stream_compacted": _with(
+        _POSTINGS, "SELECT URL, Job_ID, Role, Company, Location, Publish_Time FROM postings"
+    ),
+    "load_day_twice": _with(_POSTINGS, _STAGED, "SELECT * FROM staged"),
+    "high_water_mark_maintained": _with(
+        _POSTINGS,
+        _STAGED,
+        "SELECT source, max(Publish_Time) AS max_mark, CAST(count(*) AS BIGINT) AS rows FROM staged GROUP BY source",
+    ),
+    "incremental_silver": _with(_POSTINGS, _HALF, _clean("half", "source,"), _silver("clean", "source,")),
+    "incremental_gold": _with(
+        _POSTINGS,
+        _HALF,
+        _clean("half", "source,"),
+        _ranked_words("clean", "raw_id", "job_desc", "source", 300),
+    ),
     "last_processed_time": _with(
         _POSTINGS,
         "SELECT source, '' AS first_run, max(Publish_Time) AS mark FROM postings GROUP BY source",
@@ -326,6 +361,12 @@ ORACLES = {
     "jobs_by_role_location": _CLEAN.format(
         "SELECT role, location, count(*) AS postings FROM clean GROUP BY role, location"
     ),
+    "jobs_by_role_location_totals": _CLEAN.format(
+        """SELECT role, location, CAST(grouping(role, location) AS INTEGER) AS level, count(*) AS postings
+          FROM clean GROUP BY ROLLUP (role, location)"""
+    ),
+    "salary_percentiles": _CLEAN.format(_percentiles([], (0.25, 0.5, 0.75))),
+    "salary_percentiles_by_company": _CLEAN.format(_percentiles(["company"], (0.1, 0.5, 0.9))),
     "keyword_trend": _with(
         _POSTINGS,
         _clean("postings"),

@@ -12,11 +12,11 @@ from hirelake.operators import dedup, incremental, pages, quality, reports, word
 from hirelake.operators.keys import dense_id
 from hirelake.plans.daily import DailyRun, collect_pages, last_processed_time, run_daily
 from hirelake.plans.silver import build_silver, clean_postings
-from hirelake.plans.state import Lake
+from hirelake.plans.state import Lake, follow, load_day, read_gold, read_silver
 from hirelake.schema import RAW
 from hirelake.scratch import materialise, scratch_path
 from hirelake.sources import layers, raw
-from hirelake.streaming.ingest import raw_stream, stream_bronze
+from hirelake.streaming.ingest import stream_bronze
 
 RAW_COLUMNS = RAW.fieldNames()
 URL_PREFIX = "https://example.com/job/"
@@ -304,7 +304,7 @@ def files_of_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.concat_raw(north, raw.files_for_date(south, "2025-07-18"))
 
 
-def csv_columns_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _mixed_headers(spark: SparkSession, sf_dir: str) -> str:
     """Files under three headers: all ten columns, the first six, and another
     order with a column that is not known."""
     folder = scratch_path(spark, "headers") + "/Source_Data_board_north"
@@ -315,7 +315,11 @@ def csv_columns_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         run = f"run=board_DataEngineer_indonesia_2025071{8 + i // 2}_20102{i}"
         writer = part.select(*columns).write.options(header=True, escape='"')
         writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/{run}")
-    found = raw.read_raw(spark, folder)
+    return folder
+
+
+def csv_columns_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = raw.read_raw(spark, _mixed_headers(spark, sf_dir))
     return found.select("URL", "Job_ID", "Role", "Company", "Location", "Publish_Time")
 
 
@@ -357,16 +361,69 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_loads(spark, sf_dir, "incremental")
 
 
+def _streamed(spark: SparkSession, folders: list[str], times: int = 2, files_per_batch: int = 1000) -> Lake:
+    """Raw CSV folders through streams into one bronze table, each started several times."""
+    lake = Lake(scratch_path(spark, "lake"))
+    for folder in folders:
+        checkpoint = scratch_path(spark, "checkpoint")
+        for _ in range(times):
+            stream_bronze(spark, folder, lake.bronze, checkpoint, files_per_batch=files_per_batch).awaitTermination()
+    return lake
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw CSV files through the stream, started twice: no file counts twice."""
-    root, tables = _raw_zone(spark, sf_dir, "csv"), []
-    for source in ("board_north", "board_south"):
-        table_path, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
-        for _ in range(2):
-            rows = raw_stream(spark, f"{root}/Source_Data_{source}")
-            stream_bronze(rows, table_path, checkpoint).awaitTermination()
-        tables.append(spark.read.parquet(table_path))
-    return raw.concat_raw(*tables)
+    root = _raw_zone(spark, sf_dir, "csv")
+    lake = _streamed(spark, [f"{root}/Source_Data_{s}" for s in ("board_north", "board_south")])
+    return lake.bronze.read(spark)
+
+
+def stream_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of ``csv_columns_by_name`` through the stream."""
+    lake = _streamed(spark, [_mixed_headers(spark, sf_dir)], 1)
+    return lake.bronze.read(spark).select("URL", "Job_ID", "Role", "Company", "Location", "Publish_Time")
+
+
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file to a micro-batch, then the many small files of bronze made few."""
+    lake = _streamed(spark, [_mixed_headers(spark, sf_dir)], 1, files_per_batch=1)
+    lake.bronze.compact(spark, least_files=2)
+    return lake.bronze.read(spark).select("URL", "Job_ID", "Role", "Company", "Location", "Publish_Time")
+
+
+def load_day_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both days to bronze, the second one twice: as if once."""
+    lake, staged = Lake(scratch_path(spark, "lake")), _staged(spark, sf_dir)
+    for day in ("2025-07-18", "2025-07-19", "2025-07-19"):
+        lake.bronze.replace(staged.where(F.col("table_date") == day))
+    return lake.bronze.read(spark)
+
+
+def high_water_mark_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark and the rows of each source after two loads, from bronze's log."""
+    lake, staged = Lake(scratch_path(spark, "lake")), _staged(spark, sf_dir)
+    for day in ("2025-07-18", "2025-07-19"):
+        lake.bronze.replace(staged.where(F.col("table_date") == day))
+    return lake.bronze.maxima(spark, ["source"])
+
+
+def _loads(spark: SparkSession, sf_dir: str) -> Lake:
+    """Four incremental loads: the second day; the first one, whose postings are often
+    earlier; the second one as it was; and the first one with only half of its rows."""
+    lake, staged = Lake(scratch_path(spark, "lake")), _staged(spark, sf_dir)
+    half = staged.where((F.col("table_date") == "2025-07-19") | (F.length("URL") % 2 == 0))
+    for rows, day in ((staged, "2025-07-19"), (staged, "2025-07-18"), (staged, "2025-07-19"), (half, "2025-07-18")):
+        load_day(spark, lake, rows.where(F.col("table_date") == day), ["board_north", "board_south"], day, "incremental")
+        follow(spark, lake)
+    return lake
+
+
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, _loads(spark, sf_dir))
+
+
+def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_gold(spark, _loads(spark, sf_dir))
 
 
 def last_processed_time_(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,6 +461,19 @@ def jobs_by_role_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.jobs_by_role_location(clean_postings(postings(spark, sf_dir)))
 
 
+def jobs_by_role_location_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.jobs_by_role_location_totals(clean_postings(postings(spark, sf_dir)))
+
+
+def salary_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.salary_percentiles(clean_postings(postings(spark, sf_dir)))
+
+
+def salary_percentiles_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = clean_postings(postings(spark, sf_dir))
+    return reports.salary_percentiles(rows, ["company"], (0.1, 0.5, 0.9))
+
+
 def keyword_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.keyword_trend(clean_postings(postings(spark, sf_dir)), "month", 10, "raw_id", unique_keys=True)
 
@@ -441,8 +511,10 @@ QUERIES = {
         page_links, page_details, page_cards, page_cards_matching, page_job_details,
         attach_details, collected_postings,
         csv_round_trip, csv_columns_by_name, last_processed_time_, json_round_trip, files_of_one_day, union_by_name, staging_pruned,
-        load_full, load_incremental, stream_ingest, daily_run_silver, daily_run_gold,
-        jobs_by_role_location, keyword_trend, newest_jobs, salary_distribution,
+        load_full, load_incremental, load_day_twice, high_water_mark_maintained,
+        stream_ingest, stream_by_header, stream_compacted, incremental_silver, incremental_gold, daily_run_silver, daily_run_gold,
+        jobs_by_role_location, jobs_by_role_location_totals, salary_percentiles,
+        salary_percentiles_by_company, keyword_trend, newest_jobs, salary_distribution,
         postings_fact, company_dimension,
     )
 }

@@ -29,9 +29,6 @@ _OPTIONS = {
     "json": {"ignoreNullFields": False},
 }
 _ANY_CASE = {"csv": "*.[cC][sS][vV]", "json": "*.[jJ][sS][oO][nN]"}
-# CSV columns are read by place and named by each file's header, which may hold
-# more columns than the ten; at least so many places, more if a header has more.
-_PLACES = 40
 # The folder of a raw file, its run's folder left out.
 _FOLDER_IN_PATH = r"([^/]+)/+(?:run=[^/]*/+)?[^/]*$"
 
@@ -87,39 +84,44 @@ def _source_in_path() -> Column:
 
 
 def _headers(spark: SparkSession, paths: list[str], options: dict) -> DataFrame:
-    """(``_file``, ``_names``) of every CSV file: the line of its first block that
-    has a field ``Job_ID`` and the most of the ten names. One row per file,
-    written, so that Catalyst knows its size."""
+    """(``_file``, ``_names``, ``_at``) of every CSV file: the line of its first block
+    that has a field ``Job_ID`` and the most of the ten names, and the places of the
+    ten (0: none). One row per file, written, so that Catalyst knows its size."""
     keep = {k: v for k, v in options.items() if k == "pathGlobFilter"}
-    lines = spark.read.options(**keep).text(paths)
+    lines = spark.read.options(**keep).text(paths).where(F.col("value").contains("Job_ID"))
     plain = F.regexp_replace("value", "[\"\uFEFF]", "")
-    names = F.transform(F.split(plain, ","), lambda n: F.trim(n))
-    found = lines.where(F.array_contains(names, "Job_ID")).select(
+    named = lines.select(
         F.col("_metadata.file_path").alias("_file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("at"),
-            (-F.size(F.array_intersect(names, F.lit(RAW.fieldNames())))).alias("known"),
-            names.alias("names"),
-        ).alias("_h"),
-    )
-    first = found.groupBy("_file").agg(F.min("_h").alias("_h"))
-    return materialise(first.select("_file", F.col("_h.names").alias("_names")), "headers")
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.transform(F.split(plain, ","), lambda n: F.trim(n)).alias("_names"),
+    ).where(F.array_contains("_names", "Job_ID"))
+    known = -F.size(F.array_intersect("_names", F.lit(RAW.fieldNames())))
+    first = named.groupBy("_file").agg(F.min(F.struct("_block", known.alias("_known"), "_names")).alias("_h"))
+    at = F.array(*[F.array_position("_h._names", c).cast("int") for c in RAW.fieldNames()])
+    return materialise(first.select("_file", F.col("_h._names").alias("_names"), at.alias("_at")), "headers")
+
+
+def _by_header(headers: DataFrame, n_files: int) -> T.StructType | None:
+    """The columns in file order if all files have one and the same header: columns
+    that are not known, or named again, under a name of their place."""
+    found = headers.agg(F.count_distinct("_names"), F.count(F.lit(1)), F.first("_names")).first()
+    if found[0] != 1 or found[1] != n_files:
+        return None
+    names = list(found[2])
+    plain = [n if n in RAW.fieldNames() and names.index(n) == i else f"_{i}" for i, n in enumerate(names)]
+    return T.StructType([T.StructField(n, T.StringType()) for n in plain])
 
 
 def _named(files: DataFrame, headers: DataFrame, n_places: int) -> DataFrame:
     """The ten raw columns of CSV rows read by place."""
-    places = F.array(*[f"_{i}" for i in range(n_places)])
     missing = F.raise_error(F.concat(F.lit("no header with a field Job_ID in "), F.col("_path")))
-    names = F.when(F.col("_names").isNull(), missing.cast("array<string>")).otherwise(F.col("_names"))
-
-    def column(name: str) -> Column:
-        at = F.array_position("_names", name)
-        return F.when(at > 0, F.get("_places", (at - 1).cast("int"))).alias(name)
-
-    joined = files.withColumn("_places", places).join(headers, F.col("_path") == F.col("_file"), "left")
-    return joined.withColumn("_names", names).select(
-        *[column(c) for c in RAW.fieldNames()], "source", "table_date"
+    joined = (
+        files.withColumn("_places", F.array(*[f"_{i}" for i in range(n_places)]))
+        .join(headers.select("_file", "_at"), F.col("_path") == F.col("_file"), "left")
+        .where(F.when(F.col("_at").isNull(), missing.cast("boolean")).otherwise(True))
     )
+    columns = [F.get("_places", F.get("_at", F.lit(i)) - 1).alias(c) for i, c in enumerate(RAW.fieldNames())]
+    return joined.select(*columns, "source", "table_date")
 
 
 def read_raw(
@@ -140,33 +142,54 @@ def read_raw(
     without a header is an error. Nothing is inferred, so ids keep their leading
     zeros. All folders are one scan.
     """
-    kind = source_type(fmt)
-    options = reader_options(fmt, multi_line, any_case)
     folders = [path] if isinstance(path, str) else list(path)
     paths = [raw_paths(f, fmt, table_date, any_case) for f in folders]
-    schema = RAW
     try:
-        if kind == "csv":
-            headers = _headers(spark, paths, options)
-            n_places = max(_PLACES, headers.agg(F.max(F.size("_names"))).first()[0] or 0)
-            schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(n_places)])
-        files = spark.read.schema(schema).options(**options).format(kind).load(paths)
+        return read_files(spark, paths, fmt, source, table_date, multi_line, any_case)
     except AnalysisException as e:
         if table_date is None or e.getCondition() != "PATH_NOT_FOUND":
             raise
-        raise ValueError(f"No {kind} files found for date {table_date}") from None
-    if table_date is not None:
-        files = files.where(_stamp() == table_date.replace("-", ""))
-    day = run_date() if table_date is None else F.lit(table_date).cast("date")
-    files = files.select(
-        *schema.fieldNames(),
-        F.col("_metadata.file_path").alias("_path"),
-        (F.lit(source) if source else _source_in_path()).alias("source"),
-        day.alias("table_date"),
-    )
-    if kind == "csv":
-        return _named(files, headers, n_places)
-    return files.drop("_path")
+        raise ValueError(f"No {source_type(fmt)} files found for date {table_date}") from None
+
+
+def read_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    fmt: str = "csv",
+    source: str | None = None,
+    table_date: str | None = None,
+    multi_line: bool = True,
+    any_case: bool = False,
+) -> DataFrame:
+    """As :func:`read_raw`, from the files that globs name."""
+    kind, paths = source_type(fmt), list(paths)
+    options = reader_options(fmt, multi_line, any_case)
+
+    def scan(schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).options(**options).format(kind).load(paths)
+
+    def placed(files: DataFrame, columns: Sequence[str]) -> DataFrame:
+        if table_date is not None:
+            files = files.where(_stamp() == table_date.replace("-", ""))
+        day = run_date() if table_date is None else F.lit(table_date).cast("date")
+        return files.select(
+            *columns,
+            F.col("_metadata.file_path").alias("_path"),
+            (F.lit(source) if source else _source_in_path()).alias("source"),
+            day.alias("table_date"),
+        )
+
+    if kind == "json":
+        return placed(scan(RAW), RAW.fieldNames()).drop("_path")
+    headers = _headers(spark, paths, options)
+    same = _by_header(headers, len(scan(RAW).inputFiles()))
+    if same is not None:
+        columns = [F.col(c) if c in same.fieldNames() else F.lit(None).cast("string").alias(c) for c in RAW.fieldNames()]
+        return placed(scan(same), columns).drop("_path")
+    # Read by place: Spark keeps only as many fields of a line as it is told of.
+    n_places = headers.agg(F.max(F.size("_names"))).first()[0] or 1
+    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(n_places)])
+    return _named(placed(scan(schema), schema.fieldNames()), headers, n_places)
 
 
 def files_for_date(df: DataFrame, table_date: str) -> DataFrame:

@@ -1,11 +1,13 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from hirelake.plans.state import Lake
 from hirelake.schema import RAW
 from hirelake.sources import layers, raw
-from hirelake.streaming.ingest import raw_stream, stream_bronze
+from hirelake.streaming.ingest import stream_bronze
 
 OLD = "Job_ID,Role,Company,Location,Publish_Time,URL\n"
 NEW = OLD.rstrip() + ",country,job_desc,salary,work_type\n"
@@ -152,21 +154,55 @@ def test_load_type_is_checked(spark, folder, tmp_path):
         layers.load_bronze(raw.read_raw(spark, folder), str(tmp_path), "replace")
 
 
-def test_stream_takes_each_file_once(spark, folder, tmp_path):
-    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+@pytest.fixture
+def bronze(tmp_path):
+    return Lake(str(tmp_path / "lake")).bronze
+
+
+def test_stream_takes_each_file_once(spark, folder, bronze, tmp_path):
+    checkpoint = str(tmp_path / "c")
 
     def run():
-        stream_bronze(raw_stream(spark, folder), table, checkpoint).awaitTermination()
-        return spark.read.parquet(table).count()
+        stream_bronze(spark, folder, bronze, checkpoint).awaitTermination()
+        return bronze.read(spark).count()
 
     assert run() == run() == 7
     with open(f"{folder}/board_F_x_20250721_201026.csv", "w") as f:
-        f.write(OLD + "90,ETL,PT,City,2025-07-21 07:01:56,u/90\n")
+        f.write("URL,Extra,Job_ID,Role\nu/90,x,90,ETL\n")
     assert run() == 8
-
-
-def test_stream_above_a_mark(spark, folder, tmp_path):
-    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
-    stream = stream_bronze(raw_stream(spark, folder), table, checkpoint, "2025-07-18 07:01:56")
-    stream.awaitTermination()
-    assert [r.Job_ID for r in spark.read.parquet(table).collect()] == ["87"]
+    row = bronze.read(spark).where("Job_ID = '90'").first()
+    assert (row.URL, row.Role, row.Company, str(row.table_date), row.source) == ("u/90", "ETL", None, "2025-07-21", "board_x")
+
+
+def test_stream_above_a_mark(spark, folder, bronze, tmp_path):
+    stream_bronze(spark, folder, bronze, str(tmp_path / "c"), mark="2025-07-18 07:01:56").awaitTermination()
+    assert [r.Job_ID for r in bronze.read(spark).collect()] == ["87"]
+
+
+def test_stream_of_json_and_odd_names(spark, folder, bronze, tmp_path):
+    with open(f"{folder}/board [1]{{x}} é_20250722_201026.json", "w") as f:
+        f.write(json.dumps({"URL": "u", "Job_ID": "91"}) + "\n")
+    stream_bronze(spark, folder, bronze, str(tmp_path / "c"), "json").awaitTermination()
+    assert sorted(r.Job_ID for r in bronze.read(spark).collect()) == ["0085", "91"]
+
+
+def test_archive_folders_are_not_streamed(spark, folder, bronze, tmp_path):
+    for name in ("archive", "run=b_20250723_201026"):
+        os.makedirs(f"{folder}/{name}")
+        with open(f"{folder}/{name}/part-0.csv", "w") as f:
+            f.write(OLD + f"{name},ETL,PT,City,2025-07-21 07:01:56,u\n")
+    stream_bronze(spark, folder, bronze, str(tmp_path / "c")).awaitTermination()
+    found = {r.Job_ID for r in bronze.read(spark).collect()}
+    assert "run=b_20250723_201026" in found and "archive" not in found
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, folder, bronze, tmp_path):
+    """The checkpoint's last commit is lost, so the stream runs its batch again."""
+    checkpoint = tmp_path / "c"
+    stream_bronze(spark, folder, bronze, str(checkpoint)).awaitTermination()
+    for f in (checkpoint / "commits").iterdir():
+        f.unlink()
+    stream_bronze(spark, folder, bronze, str(checkpoint)).awaitTermination()
+    assert bronze.read(spark).count() == 7
+    stream_bronze(spark, folder, bronze, str(tmp_path / "other")).awaitTermination()
+    assert bronze.read(spark).count() == 14  # another checkpoint is another stream
