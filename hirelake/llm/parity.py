@@ -17,11 +17,13 @@ both go on to the next one.
 Passages that many texts share would fill whole pieces. So shingles in the most
 crowded of 2**20 counters are left out, if enough others remain: without them two
 sets differ by no more than before, so their numbers of remaining shingles differ
-by ``D`` at most. Texts with ``3 D`` or more of them offer pieces of these, texts
-with ``1.5 D`` to ``4 D`` smaller pieces of these, texts with less than ``2.5 D``
-pieces of all. The ranges overlap by ``D``, so two linked texts meet in one.
+by ``D`` at most. Texts with ``M`` or more of them offer pieces of these, texts with
+``1.5 D`` to ``M + D`` smaller pieces of these, texts with less than ``2.5 D`` pieces of
+all. The ranges overlap by ``D``, so two linked texts meet in one. ``M`` lies between
+``2 D`` and ``3 D``, so that the smallest sets of a band are in one range alone if no
+shingle of theirs is crowded.
 
-Linear in the text: a set of n shingles offers about 0.3 n pieces at 0.85.
+Linear in the text: a set of n shingles offers about 0.36 n pieces at 0.85.
 """
 
 from collections.abc import Iterator
@@ -127,11 +129,12 @@ def offers(sets: np.ndarray, begin: np.ndarray, percent: int, crowded: np.ndarra
     for band in size_bands(int(sizes.max(initial=0)), percent):
         member = (sizes >= band.low) & (sizes * percent <= band.high * 100)
         d = band.differ
-        many, some, few = n_rest >= 3 * d, (2 * n_rest >= 3 * d) & (n_rest < 4 * d), 2 * n_rest < 5 * d
+        enough = min(3 * d, max(2 * d, band.low - d))
+        many, some, few = n_rest >= enough, (2 * n_rest >= 3 * d) & (n_rest < enough + d), 2 * n_rest < 5 * d
         if not d:
             many, some, few = few, few, ~few
         for found in (
-            _offer(rest, kept, member & many, d, 3 * d, 3 * band.number),
+            _offer(rest, kept, member & many, d, enough, 3 * band.number),
             _offer(rest, kept, member & some, d, 3 * d // 2, 3 * band.number + 1),
             _offer(sets, begin, member & few, d, band.low, 3 * band.number + 2),
         ):
@@ -252,7 +255,7 @@ def _offered(docs: DataFrame, k: int, percent: int, crowded: np.ndarray) -> Data
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.unpackbits(packed).view(bool)
         for batch in batches:
-            for _, data, offsets in H.slices(batch.column("text")):
+            for _, data, offsets in H.slices(batch.column("text"), 1 << 20):  # all pieces of a slice are held at once
                 sets, begin = H.shingle_sets(data, offsets, k)
                 sid = H.row_sums(H.mix(sets ^ H.U64(0xA5A5A5A5)), begin) & H.U64(_ID_MASK)
                 keys, row = offers(sets, begin, percent, marks)
