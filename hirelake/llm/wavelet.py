@@ -84,6 +84,8 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> "WaveletMatrix":
+        if len(ids) and int(ids.max()) >> bits:
+            raise ValueError(f"token id {int(ids.max())} needs more than {bits} bits")
         planes, ids = [], ids.astype(_width(bits), copy=False)
         for shift in range(bits - 1, -1, -1):
             one = (ids & ids.dtype.type(1 << shift)).astype(bool)
@@ -178,13 +180,15 @@ SHARDS = "part int, shard int, n_docs long, n_tokens long, payload binary"
 
 def write_shards(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, bits: int,
-    by_word: bool = False, shard_tokens: int = 4 << 20,
+    by_word: bool = False, shard_tokens: int = 1 << 19,
 ) -> None:
     """Encode every whole text (null: empty), append ``end_id`` and write shards
     in ascending ``doc_id`` order (null ids first, equal ids by text).
 
     Documents are range-partitioned once; a task writes a shard whenever it holds
-    ``shard_tokens`` ids, and never cuts a document. Other columns are ignored.
+    ``shard_tokens`` ids (few enough that their partings stay in a core's cache), and
+    never cuts a document. An id that needs more than ``bits`` bits is an error. Other
+    columns are ignored.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
