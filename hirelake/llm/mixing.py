@@ -66,9 +66,10 @@ def mix_sources(
     share: float = 1.5,
     most_epochs: float = 2,
     seed: int = 17,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """(``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``epochs``,
-    ``cut``, ``taken``) for every row of ``docs``.
+    ``cut``, ``taken``) for every row of ``docs``, and its columns ``keep``.
 
     ``epochs`` is the number of whole uses, ``cut`` the words of one more, partial
     use of the document at the budget's edge; ``taken = epochs * size + cut``, so
@@ -77,7 +78,7 @@ def mix_sources(
     are interchangeable, and reruns agree. A null text has size 0, a null source
     is a source of its own (last in order), documents of size 0 are taken 0 words.
     """
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *keep)
     order = [F.asc_nulls_last("source"), "_key", F.asc_nulls_first("doc_id"), "size"]
     slices = materialise(
         rows.withColumn("_key", F.xxhash64(F.lit(seed), "doc_id", "size"))
@@ -114,5 +115,5 @@ def mix_sources(
         "doc_id", "source", "size", "source_size", "target",
         (whole + F.when(done & (last == F.col("size")), 1).otherwise(0)).alias("epochs"),
         F.when(done & (last < F.col("size")), last).otherwise(F.lit(0).cast("long")).alias("cut"),
-        (whole * F.col("size") + last).alias("taken"),
+        (whole * F.col("size") + last).alias("taken"), *keep,
     )

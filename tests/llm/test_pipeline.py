@@ -130,6 +130,6 @@ def test_stages_of_awkward_and_empty_tables(spark, documents, awkward, tmp_path)
 def test_registration():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
-    assert "pipeline" in names and {f"op{i}" for i in range(1, 11)} == {
+    assert "pipeline" in names and {f"op{i}" for i in range(1, 14)} == {
         n.split("_")[0] for n in names if re.match(r"op\d+_", n)
     }
