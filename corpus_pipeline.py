@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelake.llm.cotraining import keep_good, train_quality
-from hirelake.llm.mixing import mix_sources, word_count
+from hirelake.llm.mixing import mix_sources
 from hirelake.llm.packing import Limits, pack_documents
 from hirelake.llm.parity import jaccard_components
 from hirelake.llm.pii import find_personal_data, masked
@@ -57,34 +57,23 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's budget asks for, the one at the
-    budget's edge also cut to its first words. Of rows that share id, source and
-    size each is used as often as their mean, rounded down."""
+    """Documents as often as their source's budget asks for, the one at the budget's
+    edge also cut to its first words. Every row has its own uses, whatever it shares
+    with others."""
     space, word = "[\\x20\\x09-\\x0D]", "[^\\x20\\x09-\\x0D]"
-    key = ["doc_id", "source", "size"]
-    uses = (
-        mix_sources(docs, (5, 2, 1), 1.5, 2)
-        .select(*key, "epochs", "cut")
-        .groupBy(*[F.col(c).alias(f"_{c}") for c in key])
-        .agg(F.floor(F.avg("epochs")).cast("int").alias("_epochs"), F.floor(F.avg("cut")).cast("int").alias("_cut"))
-        .where((F.col("_epochs") > 0) | (F.col("_cut") > 0))
-    )
-    sized = docs.select(COLUMNS).withColumn("size", word_count(F.col("text")))
-    same = F.col("size") == F.col("_size")
-    for c in ("doc_id", "source"):
-        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    mixed = mix_sources(docs.select(COLUMNS), (5, 2, 1), 1.5, 2, keep=("text", "lang", "n_chars"))
     begin = F.concat(
-        F.lit(f"^{space}*+(?:{word}++{space}++){{"), (F.col("_cut") - 1).cast("string"), F.lit(f"}}+{word}++")
+        F.lit(f"^{space}*+(?:{word}++{space}++){{"), (F.col("cut") - 1).cast("string"), F.lit(f"}}+{word}++")
     )
+    none = F.array().cast("array<int>")
     # -1: the beginning of the document; 1, 2, ...: the whole of it
     times = F.concat(
-        F.when(F.col("_epochs") > 0, F.sequence(F.lit(1), F.greatest("_epochs", F.lit(1)))).otherwise(F.array().cast("array<int>")),
-        F.when(F.col("_cut") > 0, F.array(F.lit(-1))).otherwise(F.array().cast("array<int>")),
+        F.when(F.col("epochs") > 0, F.sequence(F.lit(1), F.greatest("epochs", F.lit(1)).cast("int"))).otherwise(none),
+        F.when(F.col("cut") > 0, F.array(F.lit(-1))).otherwise(none),
     )
     text = F.when(F.col("_use") < 0, F.regexp_substr("text", begin)).otherwise(F.col("text"))
     return (
-        sized.join(uses, same)
-        .withColumn("_use", F.explode(times))
+        mixed.withColumn("_use", F.explode(times))
         .withColumn("text", text)
         .withColumn("n_chars", F.length("text").cast("long"))
         .select(COLUMNS)
