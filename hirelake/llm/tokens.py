@@ -85,11 +85,15 @@ class Encoder:
                 out.append(np.frombuffer(self._encode([text])[0], np.uint32))
                 continue
             words = text.split()
+            try:
+                out.append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32))
+                continue
+            except KeyError:
+                pass  # some word is new
             if len(self.known) > self.most_words:
                 self.known = {}
             missing = set(words).difference(self.known)
-            if missing:
-                self._learn(missing)
+            self._learn(missing)
             out.append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32))
             for w in missing:
                 if len(w) > 64:
