@@ -6,6 +6,8 @@ in shingles. Sets that reach the similarity differ in at most ``D`` shingles, wi
 ``D`` given by their sizes. Per band of sizes the sketch is cut into more than
 ``D`` pieces: two such sketches then agree in a whole piece, and only texts that
 share a piece are compared, first by the distance of their sketches, then exactly.
+Of a set's non-empty pieces a linked set shares all but ``D``; a set that shares fewer
+with all others together takes no part.
 
 Why no link is lost. Of ``D + 1 + E`` pieces, at least ``E + 1`` agree. If one of
 the two sketches has at most ``E`` empty pieces, a non-empty piece agrees, and
@@ -79,10 +81,12 @@ def size_bands(most: int, percent: int) -> list[SizeBand]:
     return bands
 
 
-def _offer(sets: np.ndarray, begin: np.ndarray, member: np.ndarray, d: int, tokens: int, salt: int) -> tuple[list, list]:
-    """(keys, rows) of the pieces of the member rows' sets; ``tokens`` is the
-    least number that most of them have, ``salt`` tells bands and kinds apart."""
-    keys, rows = [], []
+def _offer(sets: np.ndarray, begin: np.ndarray, member: np.ndarray, d: int, tokens: int, salt: int) -> tuple[list, list, list]:
+    """(keys, rows, needs) of the pieces of the member rows' sets; ``tokens`` is the
+    least number that most of them have, ``salt`` tells bands and kinds apart. Needs are
+    the ``salt`` and seed (11 bits) and above them how many of the row's non-empty pieces
+    under that seed a linked set must share with it: all but ``d``, one at least."""
+    keys, rows, needs = [], [], []
     spare = _spare(d + 1, tokens) if d else 0
     pieces = d + 1 + spare
     sizes = np.diff(begin)
@@ -107,22 +111,28 @@ def _offer(sets: np.ndarray, begin: np.ndarray, member: np.ndarray, d: int, toke
         base = H.U64((salt * _SEEDS + seed + 1) << 32)
         keys.append(H.mix(sketch ^ H.mix(number + base)))
         rows.append(at[row])
-        over = pieces - np.bincount(row, minlength=len(at)) > spare
+        filled = np.bincount(row, minlength=len(at))
+        need = np.clip(filled - d, 1, _MOST_NEEDED) << _TAG_BITS | (salt * _SEEDS + seed) % (1 << _TAG_BITS)
+        needs.append(need[row])
+        over = pieces - filled > spare
         if seed == _SEEDS - 1 and over.any():
             has = np.zeros((len(at), pieces), bool)
             has[row, number.astype(np.int64)] = True
             which, gap = np.nonzero(~has & over[:, None])
             keys.append(H.mix(H.mix(gap.astype(H.U64) + base)))
             rows.append(at[which])
+            needs.append(need[which])
         member = np.zeros(len(sizes), bool)
         member[at[over]] = True
-    return keys, rows
+    return keys, rows, needs
 
 
-def offers(sets: np.ndarray, begin: np.ndarray, percent: int, crowded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of all pieces that the rows offer; ``crowded`` marks counters."""
+def offers(
+    sets: np.ndarray, begin: np.ndarray, percent: int, crowded: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, row, need) of all pieces that the rows offer; ``crowded`` marks counters."""
     sizes = np.diff(begin)
-    keys, rows = [], []
+    keys, rows, needs = [], [], []
     rare = ~crowded[_counter(sets)]
     kept = np.concatenate(([0], np.cumsum(rare)))[begin]
     rest, n_rest = sets[rare], np.diff(kept)
@@ -140,11 +150,14 @@ def offers(sets: np.ndarray, begin: np.ndarray, percent: int, crowded: np.ndarra
         ):
             keys += found[0]
             rows += found[1]
+            needs += found[2]
     if not keys:
-        return np.zeros(0, H.U64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(rows)
+        return np.zeros(0, H.U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(keys), np.concatenate(rows), np.concatenate(needs)
 
 
+# Above the 40 bits of a set's id: 11 of band, kind and seed, 12 of the pieces needed.
+_TAG_BITS, _MOST_NEEDED = 11, (1 << 12) - 1
 _COUNTERS = 1 << 20
 _CHUNK = 1 << 14
 
@@ -249,7 +262,8 @@ def _crowded(rows: DataFrame) -> np.ndarray:
 
 
 def _offered(docs: DataFrame, k: int, percent: int, crowded: np.ndarray) -> DataFrame:
-    """(``key``, ``sid``): each piece with the low bits of its set's signature."""
+    """(``key``, ``sid``): each piece with the low bits of its set's signature, and
+    above them its need (see :func:`_offer`)."""
     packed = np.packbits(crowded)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,12 +272,13 @@ def _offered(docs: DataFrame, k: int, percent: int, crowded: np.ndarray) -> Data
             for _, data, offsets in H.slices(batch.column("text"), 1 << 20):  # all pieces of a slice are held at once
                 sets, begin = H.shingle_sets(data, offsets, k)
                 sid = H.row_sums(H.mix(sets ^ H.U64(0xA5A5A5A5)), begin) & H.U64(_ID_MASK)
-                keys, row = offers(sets, begin, percent, marks)
+                keys, row, need = offers(sets, begin, percent, marks)
+                sid = sid[row] | need.astype(H.U64) << H.U64(40)
                 for a in range(0, len(keys), 100_000):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(H.signed(keys[a : a + 100_000] & H.U64(_KEY_MASK))),
-                            pa.array(H.signed(sid[row[a : a + 100_000]])),
+                            pa.array(H.signed(sid[a : a + 100_000])),
                         ],
                         ["key", "sid"],
                     )
@@ -479,15 +494,20 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         "nodes",
     )
     # groups of different sets that offer the same piece
-    piece = Window.partitionBy("key")
-    shared = materialise(
+    piece, id_ = Window.partitionBy("key"), F.col("sid").bitwiseAND(F.lit(_ID_MASK))
+    found = materialise(
         _offered(named, k, percent, crowded)
-        .withColumns({"_low": F.min("sid").over(piece), "_high": F.max("sid").over(piece)})
+        .withColumns({"_low": F.min(id_).over(piece), "_high": F.max(id_).over(piece)})
         .where(F.col("_low") != F.col("_high"))
         .select("key", "sid")
         .distinct(),
-        "shared",
+        "found",
     )
+    # a set that shares fewer pieces than a linked one would has no link there
+    enough = found.groupBy("sid").agg(F.count(F.lit(1)).alias("_k")).where(
+        F.col("_k") >= F.shiftrightunsigned("sid", 40 + _TAG_BITS)
+    )
+    shared = materialise(found.join(enough.select("sid"), "sid", "left_semi").select("key", id_.alias("sid")), "shared")
     sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("_w"))
     popular = shared.join(sizes, "key").groupBy("sid").agg(F.sum("_w").alias("weight"))
     known = materialise(nodes.join(popular, "sid").select("sid", "node", "n", "weight"), "popular")
