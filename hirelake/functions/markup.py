@@ -15,6 +15,9 @@ _BLOCKS = (
 )
 
 
+# White space, listed: Java tests a list of characters by one lookup.
+_SPACE = r" \t\n\x0B\f\r"
+
 # What stands in a tag: anything but its end, and quoted values, which may hold a
 # ">". Possessive, so long tags neither backtrack nor recurse.
 _INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -22,15 +25,20 @@ _INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 
 def _before(attr: str) -> str:
     """What stands in a tag before the attribute."""
-    return rf"""(?:[^\s>"']++|"[^"]*+"|'[^']*+'|\s(?!{attr}[\s=>/]))*+"""
+    return rf"""(?:[^{_SPACE}>"']++|"[^"]*+"|'[^']*+'|[{_SPACE}]++(?!{attr}[{_SPACE}=>/]))*+"""
 
 
 def opening_tag(tag: str, attr: str | None = None, value: str | None = None) -> str:
     """Pattern of an opening tag, optionally with an attribute (and its value)."""
     if attr is None:
         return rf"(?is)<{tag}\b{_INSIDE}>"
-    tail = rf"""\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s>]))""" if value else r"(?=[\s=>/])"
-    return rf"(?is)<{tag}\b(?={_before(attr)}\s{attr}{tail}){_INSIDE}>"
+    space = f"[{_SPACE}]"
+    tail = (
+        rf"""{space}*+={space}*+(?:"{value}"|'{value}'|{value}(?=[{_SPACE}>]))"""
+        if value
+        else rf"(?=[{_SPACE}=>/])"
+    )
+    return rf"(?is)<{tag}\b{_before(attr)}{space}++{attr}{tail}{_INSIDE}>"
 
 
 _NAMED = json.dumps({"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()})
@@ -41,6 +49,15 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+_EDGE = "\uffff"  # stands in no text
+
+
+def _split(text: Column, pattern: str) -> Column:
+    """As ``F.split``, which compiles its pattern anew for every row; replacing
+    keeps it, and a single character needs none."""
+    return F.split(F.regexp_replace(text, pattern, _EDGE), _EDGE)
+
+
 def _rest(pieces: Column) -> Column:
     return F.filter(pieces, lambda _, i: i > 0)
 
@@ -65,12 +82,12 @@ def _balanced(rest: Column, tag: str) -> Column:
         end = F.aggregate(_rest(parts), start, step)["kept"]
         return F.array_join(F.slice(parts, F.lit(1), end), "<")
 
-    return let(F.split(rest, rf"(?i)<(?=/?{tag}\b)"), kept)
+    return let(_split(rest, rf"(?i)<(?=/?{tag}\b)"), kept)
 
 
 def _until_closed(rest: Column, tag: str) -> Column:
     """As :func:`_balanced`; one regular expression when nothing is nested."""
-    flat = F.regexp_extract(rest, rf"(?is)^(.*?)(?:</{tag}\b|\z)", 1)
+    flat = F.regexp_extract(rest, rf"(?i)^(?:[^<]++|<(?!/{tag}\b))*+", 0)
     return let(
         flat,
         lambda text: F.when(text.rlike(rf"(?i)<{tag}\b"), _balanced(rest, tag)).otherwise(text),
@@ -84,7 +101,7 @@ def inner_html(
 
     A matching element inside another one ends the outer one early.
     """
-    rests = _rest(F.split(html, opening_tag(tag, attr, value)))
+    rests = _rest(_split(html, opening_tag(tag, attr, value)))
     return F.transform(rests, lambda rest: _until_closed(rest, tag))
 
 
@@ -96,7 +113,8 @@ def first_text(html: Column, tag: str, attr: str, value: str) -> Column:
 def first_attribute(html: Column, tag: str, attr: str) -> Column:
     """Value of the attribute on the first ``tag`` that has it, null if none or
     empty."""
-    pattern = rf"""(?is)<{tag}\b{_before(attr)}\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    space = f"[{_SPACE}]"
+    pattern = rf"""(?is)<{tag}\b{_before(attr)}{space}++{attr}{space}*+={space}*+("[^"]*"|'[^']*'|[^{_SPACE}"'>]+)"""
     quoted = extract_or_null(html, pattern)
     return F.nullif(F.regexp_replace(quoted, r"""^["']|["']$""", ""), F.lit(""))
 
@@ -152,7 +170,7 @@ def visible_text(html: Column) -> Column:
     lines, other tags vanish, runs of white space are one space, both ends are
     trimmed."""
     t = let(html, lambda h: F.when(h.contains("<"), _without_tags(h)).otherwise(h))
-    t = F.regexp_replace(t, r"\s+", " ")
+    t = F.regexp_replace(t, f"[{_SPACE}]+", " ")
     t = F.regexp_replace(t, "[ \x01\x02]*\x01[ \x01\x02]*", "\n")
     t = F.regexp_replace(t, " ?\x02 ?", "\n")
     return clean_text(F.translate(let(t, decode_entities), "\u00a0", " "))
