@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hirelake.llm.tokens import encoder, texts_of
 
@@ -108,11 +109,15 @@ _ROW_BITS = 33
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, end_id: int, limits: Limits = Limits(),
-    by_word: bool = False, pool: int = 256,
+    by_word: bool = False, pool: int = 256, learned: str | None = None,
 ) -> DataFrame:
     """Pieces of every document (null text: empty), each with its place.
 
-    A document is its ids and ``end_id``, all of them loss-bearing. Sequence ids
+    A document is its ids and ``end_id``. All of them bear loss, unless ``learned``
+    names a column of spans (array of structs of begin and end, code points, ends
+    exclusive): then the ids that hold a character of a span do, and ``end_id`` if
+    the text's last character is in one. Null spans, null bounds and an empty text
+    bear none; spans may overlap or reach beyond the text. Sequence ids
     are unique: the task's number in the upper bits, a running number below.
     Repeated rows are packed once each; other columns are ignored.
     """
@@ -126,8 +131,9 @@ def pack_documents(
 
         def place(pieces: Iterator[tuple]) -> None:
             for name, a, b, sequence, offset in pieces:
-                doc_id, ids = held[name]
-                rows.append((doc_id, a, b - a, zlib.crc32(ids[a:b]), len(ids), base + sequence, offset, b - a))
+                doc_id, ids, loss = held[name]
+                n_loss = int(loss[a:b].sum())
+                rows.append((doc_id, a, b - a, zlib.crc32(ids[a:b]), len(ids), base + sequence, offset, n_loss))
                 if b == len(ids):
                     del held[name]
 
@@ -136,13 +142,28 @@ def pack_documents(
             rows.clear()
             return made
 
+        def encoded(batch: pa.RecordBatch, i: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """Ids and loss mask, ``end_id`` included, of some rows of a batch."""
+            texts = texts_of(batch.column("text"), i, 64)
+            if learned is None:
+                for ids in make.ids(texts):
+                    yield ids, np.ones(len(ids) + 1, np.int64)
+                return
+            spans = [
+                [tuple(x.values()) for x in own or [] if x and None not in x.values()]
+                for own in batch.column("learned").slice(i, 64).to_pylist()
+            ]
+            for (ids, mask), text, own in zip(make.learned(texts, spans), texts, spans, strict=True):
+                last = any(a < len(text) <= b for a, b in own)
+                yield ids, np.append(mask, last).astype(np.int64)
+
         end = np.array([end_id], np.uint32)
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
-                found = make.ids(texts_of(batch.column("text"), i, 64))
-                for doc_id, ids in zip(batch.column("doc_id").slice(i, 64).to_pylist(), found, strict=True):
-                    held[serial] = (doc_id, np.concatenate((ids, end)).astype("<u4", copy=False))
-                    place(packer.add(serial, np.ones(len(ids) + 1, np.int64)))
+                names = batch.column("doc_id").slice(i, 64).to_pylist()
+                for doc_id, (ids, loss) in zip(names, encoded(batch, i), strict=True):
+                    held[serial] = (doc_id, np.concatenate((ids, end)).astype("<u4", copy=False), loss)
+                    place(packer.add(serial, loss))
                     serial += 1
                 if len(rows) > 10_000:
                     yield out()
@@ -150,4 +171,5 @@ def pack_documents(
         if rows:
             yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(pack, PIECES)
+    columns = ["doc_id", "text"] + ([F.col(learned).alias("learned")] if learned else [])
+    return docs.select(*columns).mapInArrow(pack, PIECES)

@@ -100,6 +100,19 @@ class Encoder:
                     del self.known[w]
         return out
 
+    def learned(self, texts: list[str], spans: list[list[tuple[int, int]]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of each text, and for each id whether it holds a character of the
+        text's spans (code points, ends exclusive)."""
+        out = []
+        for e, text, own in zip(self.tokenizer.encode_batch(texts, add_special_tokens=False), texts, spans, strict=True):
+            inside = np.zeros(len(text), np.int64)
+            for a, b in own:
+                inside[max(a, 0) : max(b, 0)] = 1
+            before = np.concatenate(([0], np.cumsum(inside)))
+            place = np.array(e.offsets, np.int64).reshape(-1, 2)
+            out.append((np.array(e.ids, np.uint32), before[place[:, 1]] > before[place[:, 0]]))
+        return out
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str, by_word: bool) -> Encoder:

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
+from hirelake.llm.chat import format_conversations
 from hirelake.llm.packing import Limits, Packer, pack_documents
 from hirelake.llm.tokens import Encoder
 from hirelake.llm.wavelet import Plane, WaveletMatrix, dump, load, read_shards, write_shards
@@ -135,6 +136,41 @@ def test_packed_awkward_rows(documents, awkward, tokenizer):
     assert pack_documents(documents([]), FILE, 1).count() == 0
 
 
+def test_loss_spans_of_conversations(given, tokenizer):
+    limits = Limits(512, 6, 60)
+    formatted = format_conversations(given("conversations")[0].limit(2000)).withColumnRenamed("conv_id", "doc_id").coalesce(1)
+    rows = formatted.collect()
+    assert {r.part for r in rows} == {0}
+    got = pack_documents(formatted, FILE, 1, limits, learned="loss").collect()
+    by_doc, by_sequence = {}, {}
+    for r in got:
+        by_doc[r.doc_id] = by_doc.get(r.doc_id, 0) + r.n_loss
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    for r in rows:
+        learned = {i for x in r.loss for i in range(x.s, x.e)}
+        offsets = tokenizer.encode(r.text, add_special_tokens=False).offsets
+        assert by_doc[r.doc_id] == sum(not learned.isdisjoint(range(*o)) for o in offsets) + (len(r.text) - 1 in learned)
+    full = {"tokens": 0, "segments": 0, "loss": 0}
+    for pieces in by_sequence.values():
+        used = {"tokens": sum(r.length for r in pieces), "segments": len(pieces), "loss": sum(r.n_loss for r in pieces)}
+        for k in full:
+            assert used[k] <= getattr(limits, k)
+            full[k] += used[k] == getattr(limits, k)
+    assert full["loss"] > len(by_sequence) / 2
+
+
+def test_loss_spans_of_awkward_rows(spark):
+    texts = ["one two three", "one two three", None, "", "é ß 😀 tail", "x"]
+    spans = [[(4, 7)], None, [(0, 5)], [], [(-3, 1), (0, 99)], [(0, None)]]
+    df = spark.createDataFrame(
+        list(zip(range(6), texts, spans, strict=True)), "doc_id long, text string, learned array<struct<s:int,e:int>>"
+    )
+    got = {r.doc_id: (r.doc_tokens, r.n_loss) for r in pack_documents(df, FILE, 1, learned="learned").collect()}
+    assert got[0] == (4, 1) and got[1] == (4, 0) and got[2] == (1, 0) and got[3] == (1, 0)
+    assert got[4][0] == got[4][1] and got[5][1] == 0
+    assert pack_documents(df.limit(0), FILE, 1, learned="learned").count() == 0
+
+
 @settings(max_examples=100, deadline=None)
 @examples(
     st.lists(st.lists(st.booleans(), max_size=90), max_size=40),
