@@ -30,7 +30,7 @@ _SIGNS = _byte_signs()
 
 def _plain(word: str) -> bool:
     """Whether a word is Latin letters that normalising only lower-cases."""
-    return word.isalpha() and max(word) < "\u0250" and word.lower().isalpha()
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and word.lower().isalpha()))
 
 
 class Encoder:
@@ -65,13 +65,17 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Add the ids of words that are not known yet."""
-        parts = {w: (m[1], m[2]) for w in words if (m := _TAIL.fullmatch(w)) and _plain(m[1])}
+        signed = (w for w in words if not w.isalpha())
+        parts = {w: (m[1], m[2]) for w in signed if (m := _TAIL.fullmatch(w)) and _plain(m[1])}
         pieces = {p for pair in parts.values() for p in pair}
         made = {p: self.known[p] for p in pieces if p in self.known}
-        new = (words | pieces) - parts.keys() - made.keys()
-        hard = [w for w in new if not _plain(w)]
+        hard = []
+        for w in (words | pieces) - parts.keys() - made.keys():
+            if _plain(w):
+                made[w] = self._model(w)
+            else:
+                hard.append(w)
         made |= zip(hard, self._encode(hard), strict=True)
-        made |= {w: self._model(w) for w in new if _plain(w)}
         made |= {w: made[a] + made[b] for w, (a, b) in parts.items()}
         self.known |= made
 
