@@ -204,6 +204,35 @@ def test_scores_of_the_graph_by_brute_force(documents, awkward):
         assert r.spans == ",".join([*filter(None, [r.base]), *(f"found:{s}:{e}" for s, e in own)])
 
 
+def test_what_follows_confident_patterns(documents):
+    """Identifiers of any shape and number of digits, where their labels are sure."""
+    texts = [f"words {i} {label}{x} more" for i in range(30) for label, x in
+             [("mail: ", f"user{i}@site{i % 5}.org"), ("host ", f"10.1.{i}.9"), ("call ", f"+44 20 7946 {1000 + i}")]]
+    long_ = "a.b_" * 60 + "9"
+    more = {
+        "please call 020 7946 0958 now": "020 7946 0958", "so call (555) 123-4567.": "(555) 123-4567",
+        "my mail: carol@localhost, thanks": "carol@localhost", "the mail: dave (at) x.org;": "dave (at) x.org",
+        "é host  \n db7.": "db7", f"mail: {long_} end": long_,
+        "mail: later 12": "", "3 calls, 020 7946 0958": "", "host": "", "call me": "",
+    }
+    texts += more
+    ids = [*range(len(texts)), None, None, 7000, 7000]
+    got = found(documents([*texts, *["x host qq1"] * 4], ids))
+    spans = {r.doc_id: r.spans for r in got}
+    for i, (text, own) in enumerate(more.items(), len(texts) - len(more)):
+        s = text.index(own)
+        assert spans[i] == (f"found:{s}:{s + len(own)}" if own else "")
+    assert [r.spans for r in got if r.doc_id in (None, 7000)] == ["found:7:10"] * 4
+
+
+def test_contexts_further_off_than_a_window(documents):
+    """White space or a long word before an identifier hides no pattern word."""
+    cards = ["4111111111111111", "378282246310005", "30569309025904", "6011111111111117"]
+    texts = [f"paid ={' ' * 300}{c} x" for c in cards] + [f"paid ={' ' * 300}9{i}0001 x" for i in range(2)]
+    spans = {r.doc_id: r.spans for r in found(documents(texts))}
+    assert [spans[4], spans[5]] == ["found:306:312"] * 2
+
+
 def test_held_out_identifiers_are_found(documents):
     """Of labelled identifiers that are no seeds at least nine of ten come back."""
     texts = [f"words {i} {label}{x} more" for i in range(40) for label, x in
