@@ -7,6 +7,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str, rows_per_task: int = 250_000) -> DataFrame:
+    """Narrow rows dealt out by ``keys`` before they are widened. A file of some
+    megabytes may hold millions of rows: one task's wide copies of them would not fit
+    its memory. The count comes from the files' footers; a few rows stay as they are."""
+    n_tasks = -(-df.count() // rows_per_task)
+    return df.repartition(n_tasks, *keys) if n_tasks > 1 else df
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: table(spark, sf_dir, n) for n in names}
 
@@ -15,6 +23,8 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame
 SPARK = {"S": "STRING", "T": "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')"}
 DUCK = {"S": "VARCHAR", "T": "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"}
 
+LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+
 # Messy raw postings: repeated ids, missing fields, stray case and spaces, line
 # breaks, salary texts of several kinds. `source` and `day` spread them over two
 # sources and two days.
@@ -52,9 +62,9 @@ FROM {lineitem} JOIN {part} ON p_partkey = l_partkey JOIN {supplier} ON s_suppke
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All postings with ``source`` and ``day``."""
-    t = tables(spark, sf_dir, "lineitem") | {
-        n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("part", "supplier")
-    }
+    t = tables(spark, sf_dir, "lineitem", "part", "supplier")
+    # by part, where a join with many parts looks for them
+    t["lineitem"] = spread(t["lineitem"].select(*LINE_COLUMNS), "l_partkey")
     names = {n: f"{{{n}}}" for n in t}
     return spark.sql(POSTINGS.format(**SPARK, **names), **t)
 
@@ -96,9 +106,14 @@ FROM {orders}
 """
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    return spread(table(spark, sf_dir, "orders").select(*columns), "o_orderkey")
+
+
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(SEARCH_PAGES, orders=table(spark, sf_dir, "orders"))
+    return spark.sql(SEARCH_PAGES, orders=_orders(spark, sf_dir))
 
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(DETAIL_PAGES, orders=table(spark, sf_dir, "orders"))
+    return spark.sql(DETAIL_PAGES, orders=_orders(spark, sf_dir))

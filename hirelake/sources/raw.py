@@ -15,9 +15,6 @@ from hirelake.schema import RAW
 # file's name.
 FOLDER_PREFIX = "Source_Data_"
 RUN_STAMP = r"_(\d{8})_\d{6}"
-# The first stamp of the file's name or, when it has none because Spark named the
-# file, of its folder's.
-_STAMP_IN_PATH = rf"{RUN_STAMP}[^/]*(?:/(?![^/]*_\d{{8}}_\d{{6}})[^/]*)?$"
 
 _OPTIONS = {
     "csv": {
@@ -29,8 +26,6 @@ _OPTIONS = {
     "json": {"ignoreNullFields": False},
 }
 _ANY_CASE = {"csv": "*.[cC][sS][vV]", "json": "*.[jJ][sS][oO][nN]"}
-# The folder of a raw file, its run's folder left out.
-_FOLDER_IN_PATH = r"([^/]+)/+(?:run=[^/]*/+)?[^/]*$"
 
 
 def source_type(name: str) -> str:
@@ -69,17 +64,28 @@ def raw_paths(folder: str, fmt: str, table_date: str | None = None, any_case: bo
     return f"{folder.rstrip('/')}/{{{stamp}{files},run={stamp}*/{files}}}"
 
 
+def _in_path(place: int) -> Column:
+    """The current file's name (-1), its folder's (-2) and so on. Patterns over the whole
+    path, tried at each of its places for every row, cost more than reading the row."""
+    return F.substring_index(F.substring_index("_metadata.file_path", "/", place), "/", 1)
+
+
 def _stamp() -> Column:
-    return F.regexp_extract("_metadata.file_path", _STAMP_IN_PATH, 1)
+    """The first stamp of the file's name or, when it has none because Spark named the
+    file, of its folder's."""
+    own, folders = (F.regexp_extract(_in_path(i), RUN_STAMP, 1) for i in (-1, -2))
+    return F.when(own != "", own).otherwise(folders)
 
 
 def run_date() -> Column:
     """The date in the current file's name or folder, null when there is none."""
-    return F.regexp_replace(_stamp(), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
+    day = _stamp()
+    return F.concat_ws("-", day.substr(1, 4), day.substr(5, 2), day.substr(7, 2)).try_cast("date")
 
 
 def _source_in_path() -> Column:
-    folder = F.regexp_extract("_metadata.file_path", _FOLDER_IN_PATH, 1)
+    """By the file's folder, its run's folder left out."""
+    folder = F.when(_in_path(-2).startswith("run="), _in_path(-3)).otherwise(_in_path(-2))
     return F.lower(F.replace(folder, F.lit(FOLDER_PREFIX), F.lit("")))
 
 
