@@ -313,7 +313,8 @@ def _mixed_headers(spark: SparkSession, sf_dir: str) -> str:
     for i, columns in headers.items():
         part = rows.where(F.abs(F.hash("URL")) % 3 == i).withColumn("Extra", F.lit("x"))
         run = f"run=board_DataEngineer_indonesia_2025071{8 + i // 2}_20102{i}"
-        writer = part.select(*columns).write.options(header=True, escape='"')
+        # files by size, however many tasks the rows come in
+        writer = part.select(*columns).hint("rebalance").write.options(header=True, escape='"')
         writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/{run}")
     return folder
 

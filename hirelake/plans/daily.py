@@ -12,7 +12,7 @@ from hirelake.operators.incremental import check_load_type, newer_than
 from hirelake.operators.pages import attach_pages, extract_cards, matching_roles, postings
 from hirelake.operators.quality import quality_report
 from hirelake.plans.state import Lake, follow, load_day, read_gold, read_silver
-from hirelake.sources.layers import empty_staging, read_staging, sources_without_rows, stage, write_staging
+from hirelake.sources.layers import empty_staging, is_staged, read_staging, sources_without_rows, stage, write_staging
 from hirelake.sources.logged import Check
 from hirelake.sources.raw import (
     read_raw,
@@ -57,13 +57,16 @@ class DailyResult:
 
 def ingest(spark: SparkSession, cfg: DailyRun) -> DataFrame:
     """Raw files of the day, all sources in one job, to staging; the staged rows
-    come back."""
+    come back. Raw files are parsed once, unless the day has been staged before:
+    then what is staged cannot tell which sources have no rows now."""
     path = f"{cfg.lake}/staging"
     raw = read_raw(
         spark, cfg.folders, cfg.source_type, None, cfg.table_date, cfg.multi_line, cfg.any_case
     )
+    again = is_staged(spark, path, cfg.sources, cfg.table_date)
     write_staging(stage(raw), path)
-    for source in sources_without_rows(raw, cfg.sources):
+    staged = read_staging(spark, path, cfg.sources, cfg.table_date)
+    for source in sources_without_rows(raw if again else staged, cfg.sources):
         empty_staging(spark, path, source, cfg.table_date)
     return read_staging(spark, path, cfg.sources, cfg.table_date)
 

@@ -24,7 +24,7 @@ from hirelake.functions.text import clean_text
 from hirelake.operators.incremental import check_load_type
 from hirelake.operators.keys import dense_id
 from hirelake.operators.words import job_words, top_rows, without_stop_words
-from hirelake.plans.silver import FIRST_BY, cleaned, first_postings
+from hirelake.plans.silver import FIRST_BY, cleaned, first_postings, require_fields
 from hirelake.schema import BRONZE, RAW, SILVER
 from hirelake.scratch import materialise
 from hirelake.sources.logged import Check, LoggedTable
@@ -43,12 +43,15 @@ class Lake:
     root: str
     buckets: int = 16
 
-    def _table(self, name: str, fields: Sequence[T.StructField], keys: tuple[str, ...], mark: str | None = None) -> LoggedTable:
-        return LoggedTable(f"{self.root}/{name}", T.StructType(list(fields)), keys, mark)
+    def _table(
+        self, name: str, fields: Sequence[T.StructField], keys: tuple[str, ...], mark: str | None = None, gather: bool = True
+    ) -> LoggedTable:
+        return LoggedTable(f"{self.root}/{name}", T.StructType(list(fields)), keys, mark, gather)
 
     @property
     def bronze(self) -> LoggedTable:
-        return self._table("bronze", BRONZE.fields, ("source", "table_date"), "Publish_Time")
+        """A load brings one day or a few files: few partitions."""
+        return self._table("bronze", BRONZE.fields, ("source", "table_date"), "Publish_Time", gather=False)
 
     @property
     def first(self) -> LoggedTable:
@@ -56,7 +59,8 @@ class Lake:
 
     @property
     def silver(self) -> LoggedTable:
-        return self._table("silver", [*_NO_ID, _RAW_ID, _SOURCE, _BUCKET], ("source", "bucket"))
+        """Made from files of ``first``, which hold one bucket each."""
+        return self._table("silver", [*_NO_ID, _RAW_ID, _SOURCE, _BUCKET], ("source", "bucket"), gather=False)
 
     @property
     def numbers(self) -> LoggedTable:
@@ -97,20 +101,28 @@ def load_day(spark: SparkSession, lake: Lake, staged: DataFrame, sources: Sequen
     today = _of(sources) & (F.col("table_date") == F.lit(table_date).cast("date"))
     before = lake.bronze.last_commit(spark)
     lake.bronze.replace(rows, today)
-    gone = lake.bronze.read(spark, today, upto=before).select(*RAW.fieldNames(), "source")
-    gone = materialise(gone.exceptAll(rows.select(gone.columns)).select("source", lake.bucket().alias("bucket")).distinct(), "gone")
-    lost = _buckets(gone)
     day = lake.bronze.read(spark, today)
-    if lost:  # the day has been loaded before, with rows that it does not have now
-        return _rebuild(spark, lake, lost, day)
+    if not lake.bronze.live(spark, today, before).isEmpty():  # the day has been loaded before
+        earlier = lake.bronze.read(spark, today, before)
+        lost = _buckets(_digests(lake, earlier).exceptAll(_digests(lake, day)))
+        if lost:  # with rows that it does not have now
+            return _rebuild(spark, lake, lost, day)
     return _merge(spark, lake, day)
 
 
+def _digests(lake: Lake, rows: DataFrame) -> DataFrame:
+    """A digest of each row next to its source and bucket: what tells rows apart is
+    shuffled, not their texts. Every value goes with its length, so none runs into the next."""
+    values = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in RAW.fieldNames()]
+    return rows.select("source", lake.bucket().alias("bucket"), F.unhex(F.sha2(F.concat(*values), 256)).alias("_digest"))
+
+
 def _merge(spark: SparkSession, lake: Lake, day: DataFrame) -> int | None:
     """A load's jobs into ``first``: only buckets of the load are read, only those with
     a new or an earlier posting are written."""
-    mine = materialise(first_postings(day.drop("table_date"), ["source"]).withColumn("bucket", lake.bucket()), "day")
-    known = lake.first.read(spark, _in(_buckets(mine)))
+    mine = first_postings(day.drop("table_date"), ["source"]).withColumn("bucket", lake.bucket())
+    ids = require_fields(day).select("source", lake.bucket().alias("bucket"))
+    known = lake.first.read(spark, _in(_buckets(ids)))
     old = known.select("source", "Job_ID", F.struct(*FIRST_BY).alias("_old"))
     earlier = F.col("_old").isNull() | (F.struct(*FIRST_BY) < F.col("_old"))
     changed = mine.join(old, ["source", "Job_ID"], "left").where(earlier).select(*mine.columns)

@@ -17,7 +17,7 @@ reaches the driver is a row for each live partition asked for.
 """
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -46,12 +46,15 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 @dataclass(frozen=True)
 class LoggedTable:
     """A table at ``path`` with partitions by ``keys`` (columns of ``schema``, may be
-    none); the log keeps the largest value of the text column ``mark``, if given."""
+    none); the log keeps the largest value of the text column ``mark``, if given.
+    ``gather`` shuffles a commit's rows to their partitions before they are written; a
+    table whose commits come in few partitions, or in files of one each, does without."""
 
     path: str
     schema: T.StructType
     keys: tuple[str, ...] = ()
     mark: str | None = None
+    gather: bool = True
 
     @property
     def _log_schema(self) -> T.StructType:
@@ -114,8 +117,9 @@ class LoggedTable:
         spark, load = df.sparkSession, uuid4().hex
         target = f"{self.path}/data/load={load}"
         rows = df.select(*self.schema.fieldNames()).withColumn(_PART, _part_name(self.keys))
-        # a partition's rows come together, in as many files as their size asks for
-        rows.hint("rebalance", _PART).write.partitionBy(_PART).parquet(target)
+        if self.gather:  # a partition's rows come together, in as many files as their size asks for
+            rows = rows.hint("rebalance", _PART)
+        rows.write.partitionBy(_PART).parquet(target)
         stored = T.StructType([*self.schema.fields, T.StructField(_PART, T.StringType())])
         written = spark.read.schema(stored).parquet(target)
         if check is not None:
@@ -158,4 +162,4 @@ class LoggedTable:
         wanted = F.ceil(F.col("bytes") / file_bytes)
         many = counts.where((F.col("files") >= least_files) & (F.col("files") > 2 * wanted))
         names = [r["part"] for r in many.select("part").collect()]
-        return self.replace(self.read(spark, F.col("part").isin(names))) if names else None
+        return replace(self, gather=True).replace(self.read(spark, F.col("part").isin(names))) if names else None
