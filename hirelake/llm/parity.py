@@ -40,7 +40,10 @@ from hirelake.llm import hashing as H
 from hirelake.llm.components import components
 from hirelake.scratch import materialise
 
-_BITS = 4096  # sketch bits in a piece
+# Sketch bits in a piece. Nothing is stored a bit; so many that two shingles rarely share
+# one: a piece often holds a single shingle, and among 2**12 bits texts without a common
+# shingle would share pieces, the more of them the more texts there are.
+_BITS = 1 << 32
 _SEEDS = 6
 _RATIO = 1.3  # from one band of sizes to the next
 
@@ -269,7 +272,7 @@ def _offered(docs: DataFrame, k: int, percent: int, crowded: np.ndarray) -> Data
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.unpackbits(packed).view(bool)
         for batch in batches:
-            for _, data, offsets in H.slices(batch.column("text"), 1 << 20):  # all pieces of a slice are held at once
+            for _, data, offsets in H.slices(batch.column("text")):  # all pieces of a slice are held at once
                 sets, begin = H.shingle_sets(data, offsets, k)
                 sid = H.row_sums(H.mix(sets ^ H.U64(0xA5A5A5A5)), begin) & H.U64(_ID_MASK)
                 keys, row, need = offers(sets, begin, percent, marks)

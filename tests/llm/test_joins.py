@@ -124,6 +124,28 @@ def test_every_linked_pair_shares_a_piece(percent):
             assert enough and min(enough) >= 0, (n, share)
 
 
+def test_sets_without_a_common_shingle_share_no_piece():
+    """However many there are: chance must not make candidates."""
+    rnd = np.random.default_rng(9)
+    sets = [np.unique(rnd.integers(0, 2**63, 90, dtype=np.uint64)) for _ in range(600)]
+    keys, row, _ = offers(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), 80, np.zeros(1 << 20, bool))
+    assert len(np.unique(keys)) == len(keys) and len(np.unique(row)) == 600
+
+
+def test_a_slice_is_hashed_in_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["some words of a text " * 50] * 6000)
+    tracemalloc.start()
+    for _, data, offsets in H.slices(texts):
+        H.shingle_sets(data, offsets, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+
+
 def test_bands_cover_all_sizes():
     bands = size_bands(10_000, 85)
     assert bands[0].low == 1 and all(a.high + 1 == b.low for a, b in zip(bands[:-1], bands[1:], strict=True))
