@@ -33,6 +33,22 @@ def test_words_give_the_ids_of_texts(tokenizer, given):
         assert e.ids([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_text_with_a_new_word_is_looked_up_once():
+    e, asked = Encoder(FILE, True), []
+
+    class Noted(type(e.known)):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    e.known = Noted(e.tokenizer)
+    long = "x" * 65
+    got = e.ids(["one two " * 100, "one two " * 100 + f"three {long}"])
+    assert [w for w in asked if w != "one" and w != "two"] == ["three", long] and len(asked) == 402
+    assert [g.tolist() for g in got] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in ("one two " * 100, "one two " * 100 + f"three {long}")]
+    assert e.known.keys() == {"one", "two", "three"}
+
+
 @settings(max_examples=300, deadline=None)
 @examples(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from("aZéßÇñ'.,<|>  \n\x1c ́İ1s"))))
 def test_any_text(text):
