@@ -11,7 +11,8 @@ from hirelake.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(4, **{"spark.sql.shuffle.partitions": "4"})
+    # plans name whole paths, however long
+    return local_session(4, **{"spark.sql.shuffle.partitions": "4", "spark.sql.maxMetadataStringLength": "2000"})
 
 
 @pytest.fixture(scope="session")
