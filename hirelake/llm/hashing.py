@@ -47,7 +47,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def slices(texts: pa.Array, most_bytes: int = (1 << 20) - 1) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) of consecutive slices; null is empty. Hashing a
-    slice takes some sixty times its bytes."""
+    slice takes some forty times its bytes."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_binary()).fill_null(b"")
