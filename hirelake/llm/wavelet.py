@@ -90,7 +90,9 @@ class WaveletMatrix:
         for shift in range(bits - 1, -1, -1):
             one = (ids & ids.dtype.type(1 << shift)).astype(bool)
             planes.append(Plane.of(one))
-            ids = np.concatenate((ids[~one], ids[one]))
+            if shift:  # nothing looks at the order below the last plane
+                # by the places of the ones: a mask is copied run by run, and runs are short
+                ids = np.concatenate((ids.compress(~one), ids.compress(one)))
         return cls(len(ids), planes)
 
     def _bits_of(self, symbol: int) -> list[int]:
@@ -130,11 +132,11 @@ class WaveletMatrix:
     def decode(self) -> np.ndarray:
         """All tokens, by undoing the partings from the last plane up."""
         kind = _width(len(self.planes))
-        ids = np.zeros(self.n, kind)
-        for i, p in enumerate(reversed(self.planes)):
+        ids = self.planes[-1].bits(self.n).astype(kind) if self.planes else np.zeros(self.n, kind)
+        for i, p in enumerate(self.planes[-2::-1], 1):
             one, above = p.bits(self.n), np.empty(self.n, kind)
-            above[~one] = ids[: p.zeros]
-            above[one] = ids[p.zeros :] | kind(1 << i)
+            above[np.flatnonzero(~one)] = ids[: p.zeros]
+            above[np.flatnonzero(one)] = ids[p.zeros :] | kind(1 << i)
             ids = above
         return ids.astype(np.uint32)
 
