@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirelake.scratch import materialise
+
 
 def _others(df: DataFrame, ignore: Sequence[str]) -> list[str]:
     skip = {c.lower() for c in ignore}
@@ -26,6 +28,30 @@ def dedup_ignoring(df: DataFrame, ignore: str, copies: str | None = None) -> Dat
     return df.groupBy(*keys).agg(*out).select(*df.columns, *([copies] if copies else []))
 
 
+def dedup_wide(df: DataFrame, ignore: str, copies: str, most: int = 1_000_000) -> DataFrame:
+    """:func:`dedup_ignoring` for wide rows of which few are alike.
+
+    The rows are written once with a hash of all columns but ``ignore``. Only hashes are
+    shuffled to find those on several rows; a row alone with its hash is like no other and
+    stays where it is, the others are compared by their values (different rows of
+    one hash stay apart). With more than ``most`` such hashes, too many to be sent to
+    all tasks, all rows are compared, where copies collapse before the shuffle.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*_others(df, [ignore])))
+    rows = materialise(hashed, "rows", "zstd")
+    per_hash = rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    several = materialise(per_hash.where("_rows > 1").select("_hash"), "alike")
+    found = several.count()  # from the files' footers
+    if found > most:
+        return dedup_ignoring(rows.drop("_hash"), ignore, copies)
+    alone = rows if not found else rows.join(several, "_hash", "left_anti")
+    alone = alone.select(*df.columns, F.lit(1).cast("long").alias(copies))
+    if not found:
+        return alone
+    alike = rows.join(several, "_hash", "left_semi").drop("_hash")
+    return alone.unionByName(dedup_ignoring(alike, ignore, copies))
+
+
 def dedup_report(df: DataFrame, ignore: str) -> DataFrame:
     """Rows before, after and removed by :func:`dedup_ignoring`, as one row."""
     groups = df.groupBy(*_others(df, [ignore])).agg(F.count(F.lit(1)).alias("_copies"))

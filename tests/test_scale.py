@@ -1,9 +1,10 @@
 """What keeps time, spills and shuffles in proportion to the rows."""
 
 from checks.tables import spread
+from hirelake.operators import dedup
 from hirelake.plans import daily, state
 from hirelake.plans.state import Lake
-from hirelake.sources import raw
+from hirelake.sources import layers, raw
 from hirelake.sources.logged import LoggedTable
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,3 +56,22 @@ def test_raw_files_of_a_new_day_are_parsed_once(spark, tmp_path, monkeypatch):
     again = daily.run_daily(spark, run)  # a job less, and what is staged cannot tell
     assert all(f.endswith(".csv") for f in asked[1]) and len(compared) == 2
     assert [r["job_id_platform"] for r in again.silver.collect()] == ["2"]
+
+
+def test_wide_rows_that_are_like_no_other_are_not_shuffled(spark):
+    rows = spark.createDataFrame(
+        [("a", None, 3), ("a", None, 2), ("a", None, None), (None, "a", 1), ("b", "x", None), ("c", "y", 5), ("c", "y", 5)],
+        "k string, v string, t int",
+    )
+    found = lambda df: sorted(map(tuple, df.collect()), key=str)
+    want = found(dedup.dedup_ignoring(rows, "t", "copies"))
+    assert found(dedup.dedup_wide(rows, "t", "copies")) == want
+    assert found(dedup.dedup_wide(rows, "t", "copies", most=0)) == want
+    for few, n in ((rows.where("k = 'b'"), 1), (rows.limit(0), 0)):
+        once = dedup.dedup_wide(few, "t", "copies")
+        assert once.count() == n and "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    # staging, which the loads read
+    raw = spark.createDataFrame([("1", "2025-07-18 01:00:00"), ("2", "no time")], "Job_ID string, Publish_Time string")
+    staged = layers.stage(raw)
+    assert "Exchange" not in staged._jdf.queryExecution().executedPlan().toString()
+    assert found(staged) == [("1", "2025-07-18 01:00:00", 1), ("2", None, 1)]
