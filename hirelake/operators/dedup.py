@@ -82,3 +82,44 @@ def first_per_key(
     """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
+_PLACE = "_place"
+_BLOCK_BITS = 12  # places of a block, 64 words of 64 bits
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """The rows written once, each with its place in what was written."""
+    return materialise(df.withColumn(_PLACE, F.monotonically_increasing_id()), "rows", "zstd")
+
+
+def first_placed(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], least: int = 1_000_000, most: int = 1 << 31
+) -> DataFrame:
+    """:func:`first_per_key` for wide rows written by :func:`placed`.
+
+    Only keys, places and the first column of the order are shuffled to find the rows
+    that come first or are level with it. A bit for each place, sent to all tasks, says
+    which these are; they alone are shuffled whole, to be told apart by the rest of the
+    order. Fewer than ``least`` rows are shuffled whole at once, and more than ``most``,
+    whose bits would be too many for every task.
+    """
+    n = rows.count()  # from the files' footers
+    if not least <= n <= most:
+        return first_per_key(rows.drop(_PLACE), keys, order)
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(order[0]))
+    block, word = F.shiftright(_PLACE, _BLOCK_BITS), F.shiftright(_PLACE, 6).bitwiseAND(63)
+    bit = F.col(_PLACE).bitwiseAND(63).cast("int")
+    level = rows.withColumn("_rank", rank).where("_rank = 1").select(_PLACE, block.alias("_block"))
+    words = (
+        level.repartition("_block")
+        .groupBy("_block", word.cast("int").alias("_word"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast({_PLACE} & 63 AS int))")).alias("_bits"))
+        .groupBy("_block")
+        .agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_words"))
+    )
+    filled = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("_words", i), F.lit(0).cast("long")))
+    bits = materialise(words.select("_block", filled.alias("_words")), "places")
+    asked = rows.withColumn("_block", block).join(F.broadcast(bits), "_block")
+    found = asked.where(F.getbit(F.get("_words", word.cast("int")), bit) == 1)
+    return first_per_key(found.select(*[c for c in rows.columns if c != _PLACE]), keys, order)

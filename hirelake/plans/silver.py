@@ -9,7 +9,7 @@ from hirelake import vocab
 from hirelake.functions.money import salary_max, salary_min
 from hirelake.functions.text import clean_text, role_casing, work_type_normalised
 from hirelake.functions.times import parse_time
-from hirelake.operators.dedup import first_per_key
+from hirelake.operators.dedup import first_per_key, first_placed, placed
 from hirelake.operators.keys import dense_id
 from hirelake.schema import RAW, REQUIRED_RAW, SILVER
 
@@ -33,8 +33,18 @@ def first_postings(bronze: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def clean_postings(bronze: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Silver without its dense key: one cleaned row per job, the earliest."""
-    return cleaned(first_postings(bronze, by), by)
+    """Silver without its dense key: one cleaned row per job, the earliest. Bronze is
+    read once, when this is called."""
+    return _cleaned_first(_placed(bronze, by), by)
+
+
+def _placed(bronze: DataFrame, by: Sequence[str]) -> DataFrame:
+    return placed(require_fields(bronze).select(*RAW.fieldNames(), *by))
+
+
+def _cleaned_first(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows of :func:`first_postings` out of written ones, cleaned."""
+    return cleaned(first_placed(rows, [*by, "Job_ID"], FIRST_BY), by)
 
 
 def cleaned(first: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -84,8 +94,9 @@ def build_silver(bronze: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The silver table. ``by`` (such as the source) keeps sets of postings
     apart in one table; its columns come last.
 
-    The wide rows are shuffled once, by job; the join with the numbers meets
-    them where they are.
+    Bronze is written once. Of many rows only the earliest of each job are shuffled as
+    a whole, by job; the join with the numbers meets them where they are.
     """
-    rows = clean_postings(bronze, by).join(job_numbers(bronze, by), [*by, "raw_id"])
+    written = _placed(bronze, by)
+    rows = _cleaned_first(written, by).join(job_numbers(written, by), [*by, "raw_id"])
     return rows.select(*SILVER.fieldNames(), *by)

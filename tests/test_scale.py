@@ -1,8 +1,8 @@
 """What keeps time, spills and shuffles in proportion to the rows."""
 
-from checks.tables import spread
+from checks.tables import postings, spread
 from hirelake.operators import dedup
-from hirelake.plans import daily, state
+from hirelake.plans import daily, silver, state
 from hirelake.plans.state import Lake
 from hirelake.sources import layers, raw
 from hirelake.sources.logged import LoggedTable
@@ -75,3 +75,30 @@ def test_wide_rows_that_are_like_no_other_are_not_shuffled(spark):
     staged = layers.stage(raw)
     assert "Exchange" not in staged._jdf.queryExecution().executedPlan().toString()
     assert found(staged) == [("1", "2025-07-18 01:00:00", 1), ("2", None, 1)]
+
+
+def test_only_first_and_level_rows_are_shuffled_whole(spark):
+    times = ["2025-01-02", "2025-01-01", None, "2025-01-01", "2025-01-03"]
+    rows = [(f"{i % 3000}" if i % 11 else None, times[i % 7 % 5], f"u{i % 5}", "x" * (i % 3)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k string, t string, u string, w string").repartition(3)
+    written = dedup.placed(df)
+    want = sorted(map(tuple, dedup.first_per_key(df, ["k"], ["t", "u", "w"]).collect()), key=str)
+    for order in (["t", "u", "w"], [F.asc("t"), F.asc("u"), F.asc("w")]):
+        once = dedup.first_placed(written, ["k"], order, least=0)
+        text = once._jdf.queryExecution().executedPlan().toString()
+        assert once.columns == df.columns and "getbit" in text.lower() and text.count("Exchange hashpartitioning") == 1
+        assert sorted(map(tuple, once.collect()), key=str) == want
+    for few, most in ((10**6, 10**9), (0, 10)):  # few rows, or too many
+        plain = dedup.first_placed(written, ["k"], ["t", "u", "w"], few, most)
+        assert "getbit" not in plain._jdf.queryExecution().executedPlan().toString().lower()
+        assert sorted(map(tuple, plain.collect()), key=str) == want
+    assert dedup.first_placed(dedup.placed(df.limit(0)), ["k"], ["t", "u", "w"], least=0).count() == 0
+
+
+def test_silver_of_many_rows_is_that_of_few(spark, sf_dir, monkeypatch):
+    bronze = postings(spark, sf_dir)
+    found = lambda df: sorted(map(tuple, df.collect()), key=str)
+    want = [found(silver.clean_postings(bronze)), found(silver.build_silver(bronze, ["source"]))]
+    plain, read = dedup.first_placed, []
+    monkeypatch.setattr(silver, "first_placed", lambda *a: read.append(1) or plain(*a, least=0))
+    assert [found(silver.clean_postings(bronze)), found(silver.build_silver(bronze, ["source"]))] == want and len(read) == 2
