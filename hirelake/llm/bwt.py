@@ -5,8 +5,9 @@ in the order of its suffixes, the symbols before each suffix: here ``step`` symb
 at a time, as a dense code. The merge never compares suffixes. It keeps for every
 place of the merged order the shard that the suffix there comes from, first all of
 shard 0, then shard 1 and so on. In each round the places are read in order and
-dealt out, stably, by the code before their suffix: an order by the first ``d``
-symbols becomes one by the first ``d + step``. Places that were told apart stay
+dealt out, stably, by the code before their suffix, and each goes on to the place in
+its shard of the suffix with that code: an order by the first ``d`` symbols becomes
+one by the first ``d + step``. Places that were told apart stay
 apart, so after the last round the blocks of places that were never told apart are
 the intervals of suffixes with a common prefix of that length.
 """
@@ -20,25 +21,27 @@ PAD = 0
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by ``depth`` symbols of 8 bits or more (ties in any order),
-    by doubling the sorted length."""
+    by doubling the sorted length; only suffixes that are level yet are sorted again."""
     n = len(symbols)
     wide = np.concatenate((symbols.astype(np.uint64), np.zeros(8, np.uint64)))
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = key << np.uint64(8) | wide[j : j + n]
-    order, sorted_ = None, 8
+    order, sorted_ = np.argsort(key, kind="stable"), 8
+    rank, level, key = np.empty(n, np.uint64), np.arange(n), key[order]
     while True:
-        order = np.argsort(key, kind="stable")
-        if sorted_ >= depth:
+        # places level with a neighbour; a rank is the first place of its level, from 1
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        rank[order[level]] = level[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))] + 1
+        level = level[~(new & np.append(new[1:], True))] if len(level) else level
+        if sorted_ >= depth or not len(level):
             return order
-        changed = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
-        if changed[-1] == n - 1:
-            return order
-        rank = np.empty(n, np.uint64)
-        rank[order] = changed.astype(np.uint64) + np.uint64(1)
-        after = np.zeros(n, np.uint64)
-        after[: max(0, n - sorted_)] = rank[sorted_:]
-        key, sorted_ = rank << np.uint64(32) | after, sorted_ * 2
+        at = order[level]
+        after = np.where(at + sorted_ < n, rank[np.minimum(at + sorted_, n - 1)], np.uint64(0))
+        key = rank[at] << np.uint64(32) | after
+        inner = np.argsort(key, kind="stable")
+        order[level], key, sorted_ = at[inner], key[inner], sorted_ * 2
 
 
 @dataclass(frozen=True)
@@ -94,34 +97,50 @@ def _grams(c: Collection) -> np.ndarray:
     return gram
 
 
-def merge(c: Collection, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def merge(c: Collection, depth: int, windows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(position of the suffix, block) at each place of the merged order; equal
-    blocks mean equal first ``depth`` symbols. Pads count as equal to each other."""
+    blocks mean equal first ``depth`` symbols. Pads count as equal to each other.
+
+    With ``windows``, only suffixes that begin among the first ``windows[i]`` positions
+    of string i and are in a block with others are merged: a round looks at the places
+    that lead to them and are not alone in their block yet. The others keep no place, as
+    no block of theirs can come to hold another suffix."""
     n = len(c.symbols)
-    codes = (np.unique(_grams(c), return_inverse=True)[1] + 1).astype(np.int64)
-    suffixes, before, shard_of = [], [], []
-    begin = 0
-    for number, end in enumerate(c.shard_ends.tolist()):
-        order = suffix_order(c.symbols[begin:end], depth + c.step) + begin
-        back = order - c.step
-        before.append(np.where(c.inside[order] >= c.step, codes[back], 0))
-        suffixes.append(order)
-        shard_of.append(np.full(end - begin, number, np.uint16))
-        begin = end
-    suffix, shard = np.concatenate(suffixes), np.concatenate(shard_of)
-    code = np.concatenate(before)
-    code = code.astype(np.uint16) if code.max(initial=0) < 1 << 16 else code  # radix sort
-    pads = shard[c.symbols[suffix] == PAD]  # the first of each shard's suffixes
-    none = int((code == 0).sum())
-    place, block = np.arange(n), np.zeros(n, np.int64)
+    index = np.int32 if n < 1 << 31 else np.int64
+    codes = (np.unique(_grams(c), return_inverse=True)[1] + 1).astype(np.int32)
+    codes = codes.astype(np.uint16) if codes.max(initial=0) < 1 << 16 else codes  # radix sort
+    begins = [0, *c.shard_ends.tolist()]
+    suffix = np.concatenate(
+        [suffix_order(c.symbols[a:b], depth + c.step) + a for a, b in zip(begins[:-1], begins[1:], strict=True)]
+    ).astype(index)
+    inside = c.inside[suffix]
+    code = np.where(inside >= c.step, codes[suffix - c.step], 0).astype(codes.dtype)
+    # where in its shard's transform the suffix is that begins with the symbols before this one
+    back = np.empty(n, index)
+    back[suffix] = np.arange(n, dtype=index)
+    back = back[suffix - c.step]
+    if windows is None:
+        heads = np.flatnonzero(c.symbols[suffix] == PAD).astype(index)  # the first of each shard's suffixes
+        place = np.arange(n, dtype=index)
+    else:
+        heads = np.zeros(0, index)
+        place = np.flatnonzero((inside >= depth) & (inside < windows[c.strings[c.string[suffix]]] + depth)).astype(index)
+    block = np.zeros(len(place), index)
     for _ in range(depth // c.step):
         here = code[place]
-        dealt = np.argsort(here, kind="stable")[none:]
-        source, apart = shard[place[dealt]], np.zeros(len(dealt), bool)
+        dealt = np.argsort(here, kind="stable")
         key, old = here[dealt], block[dealt]
+        some = int(np.searchsorted(key, 1))  # the others have no symbols before them
+        dealt, key, old = dealt[some:], key[some:], old[some:]
+        apart = np.zeros(len(dealt), bool)
         apart[1:] = (key[1:] != key[:-1]) | (old[1:] != old[:-1])
-        block = np.concatenate((np.zeros(len(pads), np.int64), 1 + np.cumsum(apart)))
-        by_shard = np.argsort(np.concatenate((pads, source)), kind="stable")
-        place = np.empty(n, np.int64)
-        place[by_shard] = np.arange(n)
+        place = back[place[dealt]]
+        if windows is not None and len(place):
+            apart[0] = True
+            alone = apart & np.append(apart[1:], True)
+            place, apart = place[~alone], apart[~alone]
+        block = np.cumsum(apart, dtype=index)
+        if windows is None:
+            place = np.concatenate((heads, place))
+            block = np.concatenate((np.zeros(len(heads), index), 1 + block))
     return suffix[place], block

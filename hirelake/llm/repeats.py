@@ -140,14 +140,13 @@ def repeated_windows(
     ``windows[i]`` windows of each string; string i begins at ``start[i]`` of
     document ``doc[i]``."""
     c = collect(strings, shards, length)
-    suffix, block = merge(c, length)
+    suffix, block = merge(c, length, windows)
     string, inside = c.strings[c.string[suffix]], c.inside[suffix]
-    valid = inside < windows[string]
-    string, inside, block = string[valid], inside[valid], block[valid]
     d, s = doc[string], start[string] + inside
     order = np.lexsort((s, d, block))
     string, inside, block, d, s = string[order], inside[order], block[order], d[order], s[order]
-    first = np.concatenate(([True], block[1:] != block[:-1]))
+    first = np.ones(len(block), bool)
+    first[1:] = block[1:] != block[:-1]
     lead = np.maximum.accumulate(np.where(first, np.arange(len(block)), 0))
     again = (d != d[lead]) | (s != s[lead])
     string, inside = string[again], inside[again]

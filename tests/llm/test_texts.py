@@ -434,6 +434,26 @@ def test_merge_orders_suffixes_and_finds_common_prefixes():
             assert (a == b) == (x == y)
 
 
+def test_merge_of_windows_keeps_only_those_that_repeat():
+    import numpy as np
+
+    rnd = np.random.default_rng(7)
+    for depth, most in ((4, 3), (10, 3), (20, 2), (20, 1), (7, 4)):
+        strings = [rnd.integers(97, 97 + most, rnd.integers(depth, 60)).astype(np.uint8) for _ in range(25)]
+        windows = np.array([rnd.integers(0, len(s) - depth + 2) for s in strings])
+        c = collect(strings, 4, depth)
+        suffix, block = merge(c, depth, windows)
+        found = {}
+        for p, b in zip(suffix.tolist(), block.tolist(), strict=True):
+            found.setdefault(b, []).append((int(c.strings[c.string[p]]), int(c.inside[p])))
+        want = {}
+        for i, s in enumerate(strings):
+            for a in range(windows[i]):
+                want.setdefault(s[a : a + depth].tobytes(), []).append((i, a))
+        assert sorted(map(sorted, found.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+        assert block.tolist() == sorted(block.tolist())
+
+
 def test_suffix_order():
     import numpy as np
 
