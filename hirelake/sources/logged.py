@@ -39,6 +39,14 @@ def _part_name(keys: Sequence[str]) -> Column:
     return F.concat(shown, F.lit("-"), F.substring(F.sha2(whole.cast("binary"), 256), 1, 16))
 
 
+def _folder(keys: Sequence[str]) -> Column:
+    """A folder name for a partition within its commit: two hashes of the keys. It is made
+    for every row; :func:`_part_name`, whose digest takes longer than writing the row, for
+    every partition."""
+    values = [v for k in keys for v in (F.col(k).isNull(), F.col(k))]
+    return F.concat(*[F.hex(F.xxhash64(F.lit(seed), *values)) for seed in (0, 1)])
+
+
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
@@ -58,7 +66,8 @@ class LoggedTable:
 
     @property
     def _log_schema(self) -> T.StructType:
-        plain = "seq long, load string, kind string, tag string, part string, rows long, mark string"
+        # older commits have no folder: theirs is named as the partition
+        plain = "seq long, load string, kind string, tag string, part string, folder string, rows long, mark string"
         named = T.StructType([f for f in self.schema if f.name in self.keys])
         return T.StructType([*T.StructType.fromDDL(plain).fields, *named.fields])
 
@@ -84,8 +93,13 @@ class LoggedTable:
     def read(self, spark: SparkSession, where: Column | None = None, upto: int | None = None) -> DataFrame:
         """The table as it is, or as it was after commit ``upto``; of its partitions those
         that ``where`` (about the keys) asks for: only their folders are read."""
-        parts = self.live(spark, where, upto).select("load", "part").collect()
-        return self._folders(spark, [f"{self.path}/data/load={r['load']}/{_PART}={r['part']}" for r in parts])
+        return self._folders(spark, [r["_at"] for r in self._placed(spark, where, upto).collect()])
+
+    def _placed(self, spark: SparkSession, where: Column | None = None, upto: int | None = None) -> DataFrame:
+        """The live partitions' names and folders (``part``, ``_at``)."""
+        name = F.concat(F.lit(f"{_PART}="), F.coalesce("folder", "part"))
+        at = F.concat_ws("/", F.lit(f"{self.path}/data"), F.concat(F.lit("load="), "load"), name)
+        return self.live(spark, where, upto).select("part", at.alias("_at"))
 
     def _folders(self, spark: SparkSession, paths: list[str]) -> DataFrame:
         if not paths:
@@ -116,7 +130,7 @@ class LoggedTable:
     def _commit(self, df: DataFrame, kind: str, tag: str | None, scope: Column | None, check: Check | None) -> int:
         spark, load = df.sparkSession, uuid4().hex
         target = f"{self.path}/data/load={load}"
-        rows = df.select(*self.schema.fieldNames()).withColumn(_PART, _part_name(self.keys))
+        rows = df.select(*self.schema.fieldNames()).withColumn(_PART, _folder(self.keys))
         if self.gather:  # a partition's rows come together, in as many files as their size asks for
             rows = rows.hint("rebalance", _PART)
         rows.write.partitionBy(_PART).parquet(target)
@@ -125,11 +139,12 @@ class LoggedTable:
         if check is not None:
             check(written.drop(_PART))
         largest = F.max(self.mark) if self.mark else F.lit(None).cast("string")
-        entries = written.groupBy(F.col(_PART).alias("part"), *self.keys).agg(F.count(F.lit(1)).alias("rows"), largest.alias("mark"))
+        entries = written.groupBy(F.col(_PART).alias("folder"), *self.keys).agg(F.count(F.lit(1)).alias("rows"), largest.alias("mark"))
+        entries = entries.withColumn("part", _part_name(self.keys))
         if scope is not None:
             gone = self.live(spark, scope).select("part", *self.keys).distinct()
             gone = gone.join(entries.select("part"), "part", "left_anti")
-            entries = entries.unionByName(gone.select("part", *self.keys, F.lit(0).cast("long").alias("rows"), F.lit(None).cast("string").alias("mark")))
+            entries = entries.unionByName(gone.select("part", *self.keys, F.lit(0).cast("long").alias("rows"), F.lit(None).cast("string").alias("mark")), allowMissingColumns=True)
         seq = self.last_commit(spark) + 1
         if tag is not None:  # also where there are no rows
             entries = entries.unionByName(spark.range(1).select(F.lit(0).cast("long").alias("rows")), allowMissingColumns=True)
@@ -144,15 +159,19 @@ class LoggedTable:
     def file_counts(self, spark: SparkSession) -> DataFrame:
         """For each live partition its ``files`` and ``bytes``, from the files' own
         metadata: no column is read."""
-        parts = self.live(spark).select("load", "part").collect()
+        parts = {r["_at"]: r["part"] for r in self._placed(spark).collect()}
         if not parts:
             return _empty(spark, T.StructType.fromDDL("part string, files long, bytes long"))
-        paths = [f"{self.path}/data/load={r['load']}/{_PART}={r['part']}" for r in parts]
-        part = F.regexp_extract("_metadata.file_path", f"/{_PART}=([^/]+)/", 1)
-        files = spark.read.schema(self.schema).parquet(*paths).select(
-            part.alias("part"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
+        # a folder is told by its commit and its name, however its path is spelled
+        named = [("/".join(at.split("/")[-2:]), part) for at, part in parts.items()]
+        names = spark.createDataFrame(named, "_in string, part string")
+        path = F.col("_metadata.file_path")
+        files = spark.read.schema(self.schema).parquet(*parts).select(
+            F.substring_index(F.substring_index(path, "/", -3), "/", 2).alias("_in"),
+            path.alias("file"), F.col("_metadata.file_size").alias("size"),
         )
-        return files.distinct().groupBy("part").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+        found = files.distinct().groupBy("_in").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+        return found.join(names, "_in").groupBy("part").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
 
     def compact(self, spark: SparkSession, least_files: int = 8, file_bytes: int = 128 << 20) -> int | None:
         """Rewrite the partitions that have ``least_files`` files or more, and more than

@@ -4,7 +4,7 @@ from checks.tables import postings, spread
 from hirelake.operators import dedup
 from hirelake.plans import daily, silver, state
 from hirelake.plans.state import Lake
-from hirelake.sources import layers, raw
+from hirelake.sources import layers, logged, raw
 from hirelake.sources.logged import LoggedTable
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,3 +102,27 @@ def test_silver_of_many_rows_is_that_of_few(spark, sf_dir, monkeypatch):
     plain, read = dedup.first_placed, []
     monkeypatch.setattr(silver, "first_placed", lambda *a: read.append(1) or plain(*a, least=0))
     assert [found(silver.clean_postings(bronze)), found(silver.build_silver(bronze, ["source"]))] == want and len(read) == 2
+
+
+def test_a_partition_is_named_once_and_older_commits_are_read(spark, tmp_path):
+    schema = T.StructType.fromDDL("k string, d string, v long")
+    rows = [("a", None, 1), (None, "a", 2), ("", "a", 3), ("a", "", 4), ("a", None, 5), (None, None, 6)]
+    frame = lambda *r: spark.createDataFrame(list(r), schema)
+    table = LoggedTable(str(tmp_path / "t"), schema, ("k", "d"))
+    assert "sha2" not in str(logged._folder(table.keys)) and "regexp" not in str(logged._folder(table.keys))
+    table.replace(frame(*rows))
+    parts = {(r["k"], r["d"]): r["part"] for r in table.live(spark).collect()}
+    named = frame(*rows).select("k", "d", logged._part_name(table.keys).alias("part")).distinct()
+    assert parts == {(r["k"], r["d"]): r["part"] for r in named.collect()} and len(parts) == 5
+    found = lambda: sorted(map(tuple, table.read(spark).collect()), key=str)
+    assert found() == sorted(rows, key=str)
+    # a commit as it was made before folders had names of their own
+    old = frame(("a", None, 7), ("z", "z", 8)).withColumn("_part", logged._part_name(table.keys))
+    old.write.partitionBy("_part").parquet(f"{table.path}/data/load=old")
+    entries = old.groupBy(F.col("_part").alias("part"), "k", "d").agg(F.count(F.lit(1)).alias("rows"))
+    facts = {"seq": F.lit(1).cast("long"), "load": F.lit("old"), "kind": F.lit("replace")}
+    entries.withColumns(facts).write.mode("append").parquet(f"{table.path}/log")
+    assert found() == sorted([*rows[1:4], rows[5], ("a", None, 7), ("z", "z", 8)], key=str)
+    table.replace(frame(("z", "z", 9)))
+    assert (("z", "z", 9) in found()) and (("z", "z", 8) not in found())
+    assert {r["part"]: r["files"] for r in table.file_counts(spark).collect()}.keys() == {r["part"] for r in table.live(spark).collect()}
