@@ -280,7 +280,8 @@ def _raw_zone(spark: SparkSession, sf_dir: str, *formats: str) -> str:
     run = F.concat_ws("_", F.lit("board_DataEngineer_indonesia"), stamp)
     for source in ("board_north", "board_south"):
         part = rows.where(F.col("source") == source).select(*RAW_COLUMNS, run.alias("run"))
-        raw.write_raw(part, f"{root}/Source_Data_{source}", formats)
+        # the lines are dealt out already, and a source has two runs
+        raw.write_raw(part, f"{root}/Source_Data_{source}", formats, gather=False)
     return root
 
 
@@ -309,12 +310,13 @@ def _mixed_headers(spark: SparkSession, sf_dir: str) -> str:
     order with a column that is not known."""
     folder = scratch_path(spark, "headers") + "/Source_Data_board_north"
     rows = postings(spark, sf_dir)
+    # files by size, without a shuffle of the wide rows
+    n_files = -(-table(spark, sf_dir, "lineitem").count() // (3 * 500_000))
     headers = {0: RAW_COLUMNS, 1: RAW_COLUMNS[:6], 2: [*reversed(RAW_COLUMNS[1:]), "Extra", "Job_ID"]}
     for i, columns in headers.items():
         part = rows.where(F.abs(F.hash("URL")) % 3 == i).withColumn("Extra", F.lit("x"))
         run = f"run=board_DataEngineer_indonesia_2025071{8 + i // 2}_20102{i}"
-        # files by size, however many tasks the rows come in
-        writer = part.select(*columns).hint("rebalance").write.options(header=True, escape='"')
+        writer = part.select(*columns).coalesce(max(n_files, 1)).write.options(header=True, escape='"', compression="gzip")
         writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/{run}")
     return folder
 

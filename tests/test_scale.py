@@ -4,6 +4,7 @@ from checks.tables import postings, spread
 from hirelake.operators import dedup
 from hirelake.plans import daily, silver, state
 from hirelake.plans.state import Lake
+from hirelake.schema import RAW
 from hirelake.sources import layers, logged, raw
 from hirelake.sources.logged import LoggedTable
 from pyspark.sql import functions as F
@@ -126,3 +127,22 @@ def test_a_partition_is_named_once_and_older_commits_are_read(spark, tmp_path):
     table.replace(frame(("z", "z", 9)))
     assert (("z", "z", 9) in found()) and (("z", "z", 8) not in found())
     assert {r["part"]: r["files"] for r in table.file_counts(spark).collect()}.keys() == {r["part"] for r in table.live(spark).collect()}
+
+
+def test_raw_files_are_compressed_and_written_where_their_rows_are(spark, tmp_path):
+    text = 'a "quoted", line\nand another'
+    rows = [(f"{i}", "r", None, "l", "t", f"u{i}", "c", text, "", "w", f"b_T_x_2025071{i % 2}_100000") for i in range(40)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in [*RAW.fieldNames(), "run"])).repartition(4, "Job_ID")
+    for fmt in ("csv", "json"):
+        for gather, files in ((True, 2), (False, 8)):
+            folder = tmp_path / f"Source_Data_{fmt}_{gather}"
+            raw.write_raw(df, str(folder), [fmt], gather=gather)
+            written = [*folder.glob("run=*/part-*")]
+            assert len(written) == files and all(f.name.endswith(f".{fmt}.gz") for f in written)
+            plain = "Job_ID,Role\n99,p\n" if fmt == "csv" else '{"Job_ID":"99","Role":"p"}\n'
+            (folder / f"b_T_x_20250710_090000.{fmt}").write_text(plain)  # plain files beside them
+            back = raw.read_raw(spark, str(folder), fmt)
+            whole = {r["Job_ID"]: r["job_desc"] for r in back.collect()}
+            assert back.count() == 41 and whole.pop("99") is None and set(whole.values()) == {text}
+            assert raw.read_raw(spark, str(folder), fmt, table_date="2025-07-10").count() == 21
+            assert raw.read_raw(spark, str(folder), fmt, table_date="2025-07-11", any_case=True).count() == 20
